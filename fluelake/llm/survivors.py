@@ -80,7 +80,7 @@ def with_units(df: DataFrame) -> DataFrame:
 
 def scored(df: DataFrame) -> DataFrame:
     """Rows of units with completeness ``c``, recency ``d`` (days, null oldest) and trust ``t``."""
-    day = F.coalesce(F.unix_date(F.try_to_date(F.trim("processing_date"), F.lit("yyyy-MM-dd"))), F.lit(-1000000))
+    day = F.coalesce(F.unix_date(F.try_to_date(F.trim("processing_date"), "yyyy-MM-dd")), F.lit(-1000000))
     trust = F.when(F.lower("model_used").contains("large"), 2).otherwise(0) + F.when(F.trim("pieces_failed") == "0", 1).otherwise(0)
     return with_units(df).withColumns({"__c": completeness(), "__d": day, "__t": F.coalesce(trust, F.lit(0))})
 
