@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from fluelake.llm import survivor_queries
+from fluelake.llm import piece_queries, survivor_queries, token_queries
 
-MODULES = [survivor_queries]
+MODULES = [survivor_queries, piece_queries, token_queries]
 
 
 def queries() -> dict[str, Callable]:
