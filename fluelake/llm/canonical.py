@@ -103,7 +103,7 @@ def likeness(v: str, c: str) -> float:
         if x == y:
             best = max(best, 0.85)
         elif best < 0.75 and max(len(x), len(y)) > 3 and min(len(x), len(y)) > 2 and x[0] == y[0] and distance(x, y, 1) <= 1:
-            best = 0.75
+            best = max(best, 0.65)
     return best
 
 
@@ -215,29 +215,29 @@ class Matcher:
         return 0, "none", likely
 
 
-def _matchers(reference: DataFrame, most: int) -> dict[str, Matcher]:
+def _entries(reference: DataFrame, most: int) -> dict[str, list[tuple[int, list[str]]]]:
+    """The list by field, on the driver, its size checked."""
     rows = reference.where("field_name is not null and canonical_value is not null").select("ref_id", "field_name", "canonical_value", "known_aliases").limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"the reference list has more than {most} entries; map it field by field")
     fields: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: r.ref_id):
         fields.setdefault(r.field_name, []).append((r.ref_id, [r.canonical_value, *[a for a in r.known_aliases or [] if a]]))
-    return {f: Matcher(e) for f, e in fields.items()}
+    return fields
 
 
 def mapped(df: DataFrame, reference: DataFrame, id_col: str, fields: list[str], most_entries: int = MOST_ENTRIES) -> DataFrame:
     """(id, field_name, value, ref_id, how, score): one row for each informative value not spelled exactly like a
     canonical name of its field. The list, its size checked, is sent to the workers; rows are never shuffled."""
-    matchers = _matchers(reference, most_entries)
-    spark = df.sparkSession
-    canonical = {f: sorted({r.canonical_value for r in reference.where(F.col("field_name") == f).select("canonical_value").collect() if r.canonical_value}) for f in fields}
-    shared = spark.sparkContext.broadcast(matchers)
+    entries = _entries(reference, most_entries)
+    canonical = {f: sorted({names[0] for _, names in entries.get(f, [])}) for f in fields}
+    shared = df.sparkSession.sparkContext.broadcast(entries)
     cells = F.array(*[F.struct(F.lit(f).alias("field_name"), F.when(~is_blank(F.col(f)) & ~F.col(f).isin(canonical[f]), F.col(f)).alias("value")) for f in fields])
     d = df.select(F.col(id_col).alias("id"), F.explode(cells).alias("c")).select("id", "c.*").where("value is not null")
 
     @F.pandas_udf("ref_id bigint, how string, score double")
     def find(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        ready = shared.value
+        ready = {f: Matcher(e) for f, e in shared.value.items()}
 
         @lru_cache(1 << 16)
         def answer(field: str, value: str):
