@@ -92,8 +92,8 @@ def _segments(text: Column) -> Column:
 
 
 def _places(w: Column, i: Column) -> list[Column]:
-    """The words a segment begins with, the word before place i (from 1) and the word there."""
-    begin = F.concat_ws(" ", F.slice(w, 1, 2))
+    """How a segment begins (a bullet, or its first two words), the word before place i (from 1) and the word there."""
+    begin = F.when(F.get(w, F.lit(0)).rlike(r"^[^\p{L}\p{N}§$(\"']+$"), "•").otherwise(F.concat_ws(" ", F.slice(w, 1, 2)))
     return [begin.alias("begin"), F.when(i > 1, F.get(w, i - 2)).otherwise("").alias("a"), F.get(w, i - 1).alias("b")]
 
 
