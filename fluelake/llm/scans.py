@@ -34,19 +34,20 @@ WORD = re.compile(r"[^\W_]+(?:['.|!][^\W_]+|[|])*[|]?|[|](?=[^\W\d_])[^\W_]+")
 PHRASES = "statement of basis draft final operating permit title v technical support document page pg no number of and the inc llc co corp company ltd incorporated".split()
 MONTHS = "january february march april may june july august september october november december".split()
 EDGE = 3
-# Groups of characters that scans confuse, longest first; each is read as the first of its group.
-CONFUSED = [("m", "rn"), ("m", "nn"), ("n", "ri"), ("u", "ii"), ("h", "li"), ("d", "cl"), ("w", "vv"), ("i", "l"), ("i", "1"), ("i", "|"), ("i", "!"), ("o", "0"), ("s", "5"), ("b", "6"), ("b", "8"), ("c", "e"), ("t", "f"), ("g", "9"), ("g", "q"), ("z", "2")]
+# The strokes that scanned characters fall into; characters and pairs with the same strokes are confused
+# ("rn" and "m", "cl" and "d", "li" and "h", "1" and "l").
+STROKES = str.maketrans({
+    "m": "rri", "n": "ri", "u": "ii", "h": "ii", "d": "ci", "w": "vv", "l": "i", "1": "i", "|": "i", "!": "i", "0": "o", "5": "s",
+    "6": "b", "8": "b", "e": "c", "f": "t", "9": "g", "q": "g", "2": "z",
+})
 #: A word is suspect if a word of its form is RATIO times as frequent; LONE for forms that differ by one letter.
 RATIO, LONE, LEAST = 8, 60, 4
 MOST_COST = 1.3
 
 
 def form(word: str) -> str:
-    """A word with confused characters alike."""
-    w = word.lower()
-    for to, what in CONFUSED:
-        w = w.replace(what, to)
-    return w
+    """A word as strokes, alike for words that scans confuse."""
+    return word.lower().translate(STROKES)
 
 
 def _title_words(text_lines: list[str], filename: str | None) -> set[str]:
@@ -60,13 +61,14 @@ _PAGE_WORDS = {form(w) for w in ("page", "pg", "of", "p", "pagc")}
 def is_page_number(line: str) -> bool:
     """Nothing but a number, and perhaps the word for page and a total."""
     words = re.findall(r"[^\W_]+", line)
-    digits = [w for w in words if any(c.isdigit() for c in w)]
-    others = [w for w in words if not any(c.isdigit() for c in w)]
+    framed = re.fullmatch(r"\W*[\[(\-–].*[\])\-–]\W*|(?i:pa\w{2}|pg)\b.*|.*\|.*", line.strip()) is not None
+    digits = [w for w in words if any(c.isdigit() for c in w) or (framed and len(w) < 4 and set(w) <= set("lIOoSB"))]
+    others = [w for w in words if w not in digits]
     return bool(digits) and len(digits) <= 2 and len(line) <= 24 and all(len(w) <= 5 for w in digits) and all(form(w) in _PAGE_WORDS or (len(w) == 1 and form(w) == "i") for w in others) and "." not in line.replace("pg.", "").replace("Pg.", "").replace("p.", "")
 
 
 def _known(word: str, title: set[str], forms: set[str]) -> bool:
-    return word in title or form(word) in forms or any(c.isdigit() for c in word) and (word.isdigit() or len(word) <= 7)
+    return word in title or form(word) in forms or len(word) == 1 or any(c.isdigit() for c in word) and (word.isdigit() or len(word) <= 7)
 
 
 def furniture(lines: list[str], filename: str | None) -> set[int]:
@@ -79,7 +81,7 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
             pages[-1].append(i)
     head = [lines[i] for p in pages if p for i in p[:2]][:2]
     title = _title_words(head, filename)
-    forms = {form(w) for w in title if len(w) > 3}
+    forms = {form(w) for w in title if len(w) > 2}
     stem = re.sub(r"[^a-z0-9]", "", (filename or "").lower())
     mask = lambda s: "|".join(sorted(re.sub(r"\d+", "0", part.strip().lower()) for part in re.split(r"\s{3,}", s.strip())))
     tops: dict[str, int] = {}
@@ -91,14 +93,19 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
     def foot(s: str) -> bool:
         return is_page_number(s) or bool(re.fullmatch(r"[\w.\-]+\.(?:pdf|txt|tiff?)", s)) or (len(stem) > 5 and re.sub(r"[^a-z0-9]", "", s.lower()) in (stem, stem + "pdf", stem + "txt"))
 
-    def running_head(s: str) -> bool:
+    def running_head(i: int) -> bool:
+        s = lines[i].strip()
         words = [w.lower() for w in re.findall(r"[^\W_]+", s)]
         if not words or len(s) > 110 or re.search(r"(?<!\bco)(?<!\binc)(?<!\bltd)(?<!\bcorp)[.;,:]$", s.lower()):
             return False
         if all(_known(w, title, forms) for w in words) and any(len(w) > 2 for w in words):
             letters = [w for w in words if not any(c.isdigit() for c in w)]
             shown = [w for w in re.findall(r"[^\W_]+", s) if w.lower() not in ("of", "and", "the")]
-            return bool(letters) and all(not w[0].islower() or form(w) in _PAGE_WORDS for w in shown)
+            return bool(letters) and all(not w[0].islower() or any(c.isdigit() for c in w) or form(w) in _PAGE_WORDS for w in shown)
+        below = lines[i + 1] if i + 1 < len(lines) else ""
+        columns = [len(re.split(r"\t| {3,}", x.strip())) for x in (s, below)]
+        if re.match(r"\d+\.\d", s) or columns[0] > 2 and columns[0] == columns[1]:
+            return False  # a numbered heading; the heads of a table's columns
         return tops.get(mask(s), 0) > 1 and mask(s) not in inside and not re.search(r"[a-z]{2,} [a-z]{2,} [a-z]{2,} [a-z]{2,} [a-z]{2,}", s)
 
     out: set[int] = set()
@@ -110,7 +117,7 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
             out.add(i)
             low += 1
         for i in p[: len(p) - low][:EDGE]:  # downwards from the head
-            if not (foot(lines[i].strip()) or (k and running_head(lines[i].strip()))):
+            if not (foot(lines[i].strip()) or (k and running_head(i))):
                 break
             out.add(i)
     return out
