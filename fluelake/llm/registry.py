@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from fluelake.llm import address_queries, canonical_queries, consensus_queries, piece_queries, scan_queries, survivor_queries, token_queries, truncation_queries
+from fluelake.llm import address_queries, canonical_queries, consensus_queries, mixing_queries, piece_queries, scan_queries, survivor_queries, token_queries, truncation_queries
 
-MODULES = [address_queries, canonical_queries, consensus_queries, scan_queries, survivor_queries, piece_queries, token_queries, truncation_queries]
+MODULES = [address_queries, canonical_queries, consensus_queries, mixing_queries, scan_queries, survivor_queries, piece_queries, token_queries, truncation_queries]
 
 
 def queries() -> dict[str, Callable]:
