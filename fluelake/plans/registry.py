@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from fluelake.plans import quantities
+from fluelake.plans import quantities, scalars
 
-MODULES = [quantities]
+MODULES = [quantities, scalars]
 
 
 def queries() -> dict[str, Callable]:
