@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from fluelake.plans import quantities, scalars
+from fluelake.plans import quantities, scalars, windows
 
-MODULES = [quantities, scalars]
+MODULES = [quantities, scalars, windows]
 
 
 def queries() -> dict[str, Callable]:
