@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from fluelake.plans import joins, quantities, scalars, windows
+from fluelake.plans import classes, joins, quantities, scalars, windows
 
-MODULES = [quantities, scalars, windows, joins]
+MODULES = [quantities, scalars, windows, joins, classes]
 
 
 def queries() -> dict[str, Callable]:
