@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from fluelake.plans import classes, joins, quantities, reports, scalars, windows
+from fluelake.plans import classes, flows, joins, quantities, reports, scalars, windows
 
-MODULES = [quantities, scalars, windows, joins, classes, reports]
+MODULES = [quantities, scalars, windows, joins, classes, reports, flows]
 
 
 def queries() -> dict[str, Callable]:
