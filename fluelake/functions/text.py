@@ -38,7 +38,7 @@ MISSING_HOURS = "information not provided"
 
 def strip(c: Column) -> Column:
     """Without white space, no-break spaces included, at either end."""
-    return F.regexp_replace(c, r"^[\s ]+|[\s ]+$", "")
+    return F.regexp_replace(c, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
 
 
 def empty_to_null(c: Column) -> Column:
@@ -86,7 +86,7 @@ def hours_basis(c: Column) -> Column:
 
 def fold_label(c: Column) -> Column:
     """Trimmed, single spaces, no final . ; or comma, lower case; null if nothing is left."""
-    return empty_to_null(F.lower(F.regexp_replace(F.regexp_replace(strip(c), r"[\s ]+", " "), r"[.;,]+$", "")))
+    return empty_to_null(F.lower(F.regexp_replace(F.regexp_replace(strip(c), r"[\s\u00a0]+", " "), r"[.;,]+$", "")))
 
 
 def digits_only(c: Column) -> Column:
@@ -102,7 +102,7 @@ def capacity_in(description: Column) -> tuple[Column, Column]:
 def capacity_unit(c: Column) -> Column:
     """The usual spelling of a unit, or the trimmed text."""
     units = F.create_map(*[F.lit(x) for kv in CAPACITY_UNITS.items() for x in kv])
-    return F.coalesce(F.try_element_at(units, F.lower(F.regexp_replace(strip(c), r"[\s ]+", " "))), strip(c))
+    return F.coalesce(F.try_element_at(units, F.lower(F.regexp_replace(strip(c), r"[\s\u00a0]+", " "))), strip(c))
 
 
 def canonical_fuel(c: Column) -> Column:
@@ -153,7 +153,7 @@ def year_in(c: Column, last: int = 2026) -> Column:
 
 def comparable(c: Column) -> Column:
     """Trimmed, lower case, single spaces; a number without commas and without a zero fraction; empty for null."""
-    s = F.regexp_replace(F.lower(strip(F.coalesce(c, F.lit("")))), r"[\s ]+", " ")
+    s = F.regexp_replace(F.lower(strip(F.coalesce(c, F.lit("")))), r"[\s\u00a0]+", " ")
     n = F.replace(s, F.lit(","), F.lit(""))
     return F.when(n.rlike(r"^[0-9]+(\.[0-9]+)?$"), plain_number(n)).otherwise(s)
 

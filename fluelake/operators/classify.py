@@ -126,7 +126,7 @@ def canonical_spellings(df: DataFrame, column: str, synonyms: dict[str, str] | N
     raw = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("raw")).agg(F.count("*").alias("n"))
     raw = raw.withColumn("folded", fold_label(F.col("raw"))).where("folded is not null")
     best = raw.groupBy("folded").agg(F.min_by("raw", F.struct(-F.col("n"), "raw")).alias("raw"))
-    shown = F.regexp_replace(F.regexp_replace(strip(F.col("raw")), r"[\s ]+", " "), r"[.;,]+$", "")
+    shown = F.regexp_replace(F.regexp_replace(strip(F.col("raw")), r"[\s\u00a0]+", " "), r"[.;,]+$", "")
     plain = (shown == F.lower(shown)) & (shown != F.upper(shown))
     known = F.try_element_at(F.create_map(*[F.lit(x) for kv in (synonyms or {"": ""}).items() for x in kv]), F.col("folded"))
     return best.select("folded", F.coalesce(known, F.when(plain, title_case(shown)).otherwise(shown)).alias("canonical"))
