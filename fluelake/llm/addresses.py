@@ -72,14 +72,14 @@ def rewritten(words: list[str], rules: dict[str, str]) -> list[str]:
 
 
 def town_key(town: str | None) -> str | None:
-    if town is None or (t := re.sub(r"[\s ]+", " ", re.sub(r"[^a-z\s ]", " ", town.lower())).strip()) in FILLER_WORDS:
+    if town is None or (t := re.sub(r"[\s\u00a0]+", " ", re.sub(r"[^a-z\s\u00a0]", " ", town.lower())).strip()) in FILLER_WORDS:
         return None
     return "".join(TOWNS.get(w, w) if i == 0 else w for i, w in enumerate(t.split()))
 
 
 def parsed(address: str | None, town: str | None, code: str | None, state: str | None):
     """(house number, words of the street, postal code, town, state), or None for no street location."""
-    a = re.sub(r"[\s ]+", " ", (address or "").lower()).strip()
+    a = re.sub(r"[\s\u00a0]+", " ", (address or "").lower()).strip()
     if a in FILLER_WORDS or BOX.search(a):
         return None
     z = re.sub(r"\D", "", code or "")[:5]

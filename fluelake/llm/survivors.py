@@ -58,7 +58,8 @@ def with_units(df: DataFrame) -> DataFrame:
     """The rows that describe a unit, with the column ``unit``: the id, or what the description names."""
     good = (squashed(F.col("status")) == "success") & F.col("filename").isNotNull()
     named = ~is_blank(F.col("unit_description"))
-    d = df.where(good & (named | ~is_blank(F.col("unit_id")))).withColumn("__id", unit_key(F.col("unit_id")))
+    needed = ["row_id", "filename", "status", "processing_date", "model_used", "pieces_failed", *UNIT_FIELDS]
+    d = df.select(*needed).where(good & (named | ~is_blank(F.col("unit_id")))).withColumn("__id", unit_key(F.col("unit_id")))
     d = d.withColumns({f"__{k}": v for k, v in _names(F.col("unit_description")).items()})
     with_id = d.where("__id is not null").withColumn("unit", F.concat(F.lit("id:"), "__id"))
     without = d.where("__id is null").select("filename", "__name", "__number", "__side", "__place").distinct()
