@@ -36,6 +36,8 @@ NOISE = {
 MISREAD = str.maketrans({"0": "o", "1": "l", "5": "s", "8": "b"})
 # Trade words that are no spelling of the list's.
 SYNONYMS = {"genset": "generator", "gensets": "generator"}
+#: Words longer than this are not split into two.
+LONGEST_JOIN = 40
 ACCEPT, MARGIN, NAMED, PARTLY = 0.6, 0.08, 0.72, (0.6, 0.45)
 
 
@@ -59,7 +61,7 @@ def distance(a: str, b: str, most: int) -> int:
         if min(new) > most:
             return most + 1
         before, row = row, new
-    return row[-1]
+    return min(row[-1], most + 1)
 
 
 def allowed(n: int) -> int:
@@ -160,15 +162,16 @@ class Matcher:
         for i, t in enumerate(v):
             if i + 1 < len(v):
                 out += [(s, (i, i + 1), (x,)) for x, s in self.near(t + v[i + 1]).items() if s >= 0.8 and len(x) > 5]
-            if t not in self.weight and len(t) > 5:
+            if t not in self.weight and 5 < len(t) <= LONGEST_JOIN:
                 for k in range(3, len(t) - 2):
                     for x, p in self.near(t[:k]).items():
                         if p >= 0.85:
                             out += [(0.95 * min(p, q), (i,), (x, y)) for y, q in self.near(t[k:]).items() if q >= 0.85 and y != x]
         return out
 
-    def score(self, v: tuple[str, ...], c: tuple[str, ...], joins: list) -> tuple[float, float]:
-        """Soft token-set similarity of value and name, and the share of the name that is covered."""
+    def score(self, v: tuple[str, ...], c: tuple[str, ...], joins: list) -> tuple[float, float, bool]:
+        """Soft token-set similarity of value and name, the share of the name that is covered, and whether every word
+        of the value is used."""
         open_c = dict.fromkeys(c)
         found = [(s, (i,), (x,)) for i, t in enumerate(v) for x, s in self.near(t).items() if x in open_c]
         found += [j for j in joins if all(x in open_c for x in j[2])]
@@ -184,7 +187,7 @@ class Matcher:
                     del open_c[x]
         total = sum(self.weight[x] for x in dict.fromkeys(c))
         spent = sum(0.8 * max((self.weight[x] for x, s in self.near(t).items() if s > 0.75), default=self.unknown) for i, t in enumerate(v) if i not in used)
-        return gained / (total + spent), gained / total
+        return gained / (total + spent), gained / total, len(used) == len(v)
 
     def find(self, value: str) -> tuple[int, str, float]:
         """(reference or 0, how, score) of a value."""
@@ -197,18 +200,19 @@ class Matcher:
         if ref := self.mentioned(v):
             return ref, "mention", 1.0
         v = [y for w in v for y in SYNONYMS.get(w, w).split()]
-        best: dict[int, tuple[float, float]] = {}
+        best: dict[int, tuple[float, float, bool]] = {}
         joins = self.joins(tuple(v))
         stated = {w for w in v if w in self.numbers}
         for ref, c in self.names:
             if stated and not stated <= set(c) and self.numbers & set(c):
                 continue
-            best[ref] = max(best.get(ref, (0.0, 0.0)), self.score(tuple(v), c, joins))
+            best[ref] = max(best.get(ref, (0.0, 0.0, False)), self.score(tuple(v), c, joins))
         order = sorted(best.items(), key=lambda x: (-x[1][0], x[0]))
         if not order:
             return 0, "none", 0.0
-        (ref, (likely, covered)), second = order[0], order[1][1][0] if len(order) > 1 else 0.0
-        whole = all(max(self.near(w).values(), default=0) > 0.7 for w in v)  # every word is one of the list's
+        (ref, (likely, covered, used)), second = order[0], order[1][1][0] if len(order) > 1 else 0.0
+        # every word is one of the list's, and no other entry has them all
+        whole = used and all(max(self.near(w).values(), default=0) > 0.7 for w in v) and sum(x[2] for x in best.values()) == 1
         clear = likely - second >= MARGIN
         if clear and (likely >= ACCEPT or covered >= NAMED or (covered >= PARTLY[0] and likely >= PARTLY[1]) or (whole and likely >= 0.25)):
             return ref, "similar", likely

@@ -72,6 +72,7 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[str,
     begin = np.where((words[at] < previous) & (words[at] >= previous - overlap), words[at], previous - overlap)
     begin = np.maximum(begin, end - limit)  # the block itself must fit
     begin = np.minimum(begin, start)
+    begin = np.where(begin >= previous, start, begin)  # nothing but space would be repeated
     begin[0] = start[0]
     # a start pushed into a word moves on to the next one, if that is still before the block
     at = np.minimum(np.searchsorted(words, begin), len(words) - 1)
