@@ -63,3 +63,14 @@ def stratified(df: DataFrame, stratum: str, key: str, n: int, seed: str) -> Data
 def simple(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
     """The n rows of least hash."""
     return df.orderBy(hash_order(key, seed), key).limit(n)
+
+
+def repaired(quota: dict[str, int], counts: dict[str, int], n: int) -> dict[str, int]:
+    """Quotas (a small table, one entry a stratum) brought to the sum n: the greatest quota gives, the most numerous
+    stratum takes, ties in order; none under one or over its stratum."""
+    q = dict(quota)
+    while sum(q.values()) > n and max(q.values()) > 1:
+        q[min((k for k in q if q[k] > 1), key=lambda k: (-q[k], k))] -= 1
+    while sum(q.values()) < min(n, sum(counts.values())):
+        q[min((k for k in q if q[k] < counts[k]), key=lambda k: (-counts[k], k))] += 1
+    return q

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fluelake.functions import columns as N
 from fluelake.functions import text as T
 from fluelake.operators import dedup, match, merge
 from fluelake.plans import sqltools as S
@@ -135,6 +136,13 @@ def key_set_algebra(spark, sf_dir):
     return out
 
 
+def aligned_columns(spark, sf_dir):
+    """Rows under older headings renamed, aligned to a wider order, with a code inserted behind its anchor."""
+    d = table(spark, sf_dir, P).select("row_id", F.col("facility_name").alias("facility"), F.col("fuel_type").alias("fuel"), "naics_code", "unit_id")
+    d = N.aligned(N.renamed(d), ["row_id", "facility_name", "unit_id", "unit_model", "naics_code"])
+    return N.inserted_after(d, "naics_code", {"naics_digits": T.digits_only(F.col("naics_code"))})
+
+
 def merge_replace(spark, sf_dir):
     a, b = _runs(spark, sf_dir, "run_a", "run_d")
     return merge.replace_by_key(a.select("row_id", "filename", "unit_id"), b.select("row_id", "filename", "fuel_type"), "filename")
@@ -210,7 +218,7 @@ def side_by_side(spark, sf_dir):
     return p.withColumnsRenamed({m: m.replace("-", "_") for m in models})
 
 
-QUERIES = {f.__name__: f for f in (left_centroids, fill_zero_join, fanout_join, semi_registry, anti_pending, lookup_first, chained_left, full_outer_align, unit_key_anti, key_set_stats, fuzzy_match, two_hop_lookup, align_models, propagate_flag, point_in_polygon, judge_pairing, key_set_algebra, merge_replace, append_new_only, merge_source_selection, merge_carry_over, merge_additive, merge_chunks, merge_chunk_units, reassemble_chunks, clean_pass, log_surgery, side_by_side)}
+QUERIES = {f.__name__: f for f in (left_centroids, fill_zero_join, fanout_join, semi_registry, anti_pending, lookup_first, chained_left, full_outer_align, unit_key_anti, key_set_stats, fuzzy_match, two_hop_lookup, align_models, propagate_flag, point_in_polygon, judge_pairing, key_set_algebra, aligned_columns, merge_replace, append_new_only, merge_source_selection, merge_carry_over, merge_additive, merge_chunks, merge_chunk_units, reassemble_chunks, clean_pass, log_surgery, side_by_side)}
 
 _U = S.unit_key("unit_id", "unit_description")
 _FILE = r"regexp_replace(lower(trim(filename)), '\.(pdf|txt|json|html?)$', '')"
@@ -251,6 +259,7 @@ def _more_sql():
             WITH m AS (SELECT {_FILE} AS file FROM {MAN}), g AS (SELECT {_FILE} AS file FROM {LOG})
             SELECT file, 'union' AS part FROM (SELECT file FROM m UNION SELECT file FROM g) UNION ALL SELECT file, 'both' FROM (SELECT file FROM m INTERSECT SELECT file FROM g)
             UNION ALL SELECT file, 'manifest_only' FROM (SELECT file FROM m EXCEPT SELECT file FROM g) UNION ALL SELECT file, 'log_only' FROM (SELECT file FROM g EXCEPT SELECT file FROM m)""",
+        "aligned_columns": f"SELECT row_id, facility_name, unit_id, CAST(NULL AS VARCHAR) AS unit_model, naics_code, nullif(regexp_replace(naics_code, '[^0-9]', '', 'g'), '') AS naics_digits, fuel_type FROM {P}",
         "merge_replace": f"SELECT row_id, filename, unit_id, NULL AS fuel_type FROM {run('run_a')} WHERE filename NOT IN (SELECT filename FROM {run('run_d')}) UNION ALL SELECT row_id, filename, NULL, fuel_type FROM {run('run_d')}",
         "append_new_only": f"SELECT row_id, filename FROM {run('run_d')} UNION ALL SELECT row_id, filename FROM {run('run_a')} WHERE filename NOT IN (SELECT filename FROM {run('run_d')})",
         "merge_source_selection": f"""

@@ -125,6 +125,21 @@ def test_ranked_places(spark):
     assert got == sorted(got) and len(got) == 500
 
 
+def test_quota_repair():
+    assert sampling.repaired({"a": 5, "b": 3, "c": 1}, {"a": 50, "b": 30, "c": 1}, 7) == {"a": 3, "b": 3, "c": 1}
+    assert sampling.repaired({"a": 1, "b": 1}, {"a": 9, "b": 2}, 5) == {"a": 4, "b": 1}
+    assert sampling.repaired({"a": 1, "b": 1}, {"a": 1, "b": 2}, 9) == {"a": 1, "b": 2}
+
+
+def test_columns(spark):
+    from fluelake.functions import columns as N
+
+    d = spark.createDataFrame([("x", "y", 1)], "state string, make string, i int")
+    assert N.aligned(N.renamed(d), ["unit_make", "nothing"]).columns == ["unit_make", "nothing", "facility_state_abbreviation", "i"]
+    with pytest.raises(ValueError):
+        N.inserted_after(d, "make", {"i": F.lit(1)})
+
+
 def test_spearman_is_exact(spark):
     rng = random.Random(1)
     x, y = [rng.randrange(9) for _ in range(60)], [rng.randrange(9) for _ in range(60)]
