@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fluelake.runtime import cut
+from fluelake.runtime import cut, stored
 
 MARK = r"(?:\s*(?:…|\.\.\.|\[(?:\.\.\.|…|truncated|cut)\]|�+))+\s*$"
 ENDING = r"[.!?:;)\]\"'”’»_]$"
@@ -123,7 +123,8 @@ def judged(df: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
     d = d.withColumn("w", F.filter(F.split(F.try_element_at(_segments(F.col("plain")), F.lit(-1)), " "), lambda x: x != ""))
     small = d.select("id", "source", "h", "marked", "chars", "bytes", *_places(F.col("w"), F.size("w")), F.right("plain", F.lit(1)).alias("last"))
     small = cut(small)
-    texts = d.where("plain <> ''").groupBy("h").agg(F.first("plain").alias("plain"))
+    # the distinct texts are read three times: sorted, split, and by hash
+    texts = stored(d.where("plain <> ''").groupBy("h").agg(F.first("plain").alias("plain")), "texts")
     after = _neighbours(texts)
     limits = F.broadcast(_limits(small.where("last <> ''").groupBy("h").agg(F.min("chars").alias("chars"), F.min("bytes").alias("bytes"))))  # lengths only
     full, pairs, single = _line_ends(texts)
