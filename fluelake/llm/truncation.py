@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from fluelake.runtime import cut, stored
 
 MARK = r"(?:\s*(?:…|\.\.\.|\[(?:\.\.\.|…|truncated|cut)\]|�+))+\s*$"
+#: Marks of omission lie within so many characters of the end.
+MARK_REACH = 60
 ENDING = r"[.!?:;)\]\"'”’»_]$"
 #: A length is a limit when at least SPIKE times as many distinct texts have it as the WINDOW lengths on each side on average.
 SPIKE, WINDOW, LEAST = 6.0, 12, 5
@@ -40,9 +42,10 @@ FRAGMENT = 10
 
 def _plain(text: Column) -> Column:
     """The text without a final mark, runs of spaces as one, line ends as one newline."""
-    t = F.regexp_replace(text, MARK, "")
-    t = F.regexp_replace(F.regexp_replace(t, r"[\u00a0\u2007\u202f\u3000]", " "), r"\s*[\r\n]\s*", "\n")
-    return F.regexp_replace(F.regexp_replace(t, r"[^\S\n]+", " "), r"^\s+|\s+$", "")
+    end = F.right(text, F.lit(MARK_REACH))  # the mark's pattern is tried on the end of the text only
+    t = F.when(end.rlike(MARK), F.concat(F.substring(text, F.lit(1), F.length(text) - F.length(end)), F.regexp_replace(end, MARK, ""))).otherwise(text)
+    t = F.translate(t, "\u00a0\u2007\u202f\u3000\t\f\u000b", "       ")
+    return F.btrim(F.regexp_replace(F.regexp_replace(t, r" *+[\r\n][ \r\n]*+", "\n"), r"  ++", " "), F.lit(" \n"))
 
 
 def _neighbours(texts: DataFrame) -> DataFrame:
@@ -118,7 +121,7 @@ def _line_ends(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def judged(df: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
     """(id, source, marked, prefix, after, at_limit, goes_on, cut): every document with its signs and the verdict."""
     d = df.select(F.col(id_col).alias("id"), F.col(source).alias("source"), F.col(text).alias("text"))
-    d = d.withColumns({"plain": _plain(F.col("text")), "chars": F.length("text"), "bytes": F.octet_length("text"), "marked": F.col("text").rlike(MARK)})
+    d = d.withColumns({"plain": _plain(F.col("text")), "chars": F.length("text"), "bytes": F.octet_length("text"), "marked": F.right("text", F.lit(MARK_REACH)).rlike(MARK)})
     d = d.withColumn("h", F.unhex(F.sha2(F.col("plain"), 256)))
     d = d.withColumn("w", F.filter(F.split(F.try_element_at(_segments(F.col("plain")), F.lit(-1)), " "), lambda x: x != ""))
     small = d.select("id", "source", "h", "marked", "chars", "bytes", *_places(F.col("w"), F.size("w")), F.right("plain", F.lit(1)).alias("last"))
