@@ -229,7 +229,7 @@ def representation_ratio(spark, sf_dir):
 def weighted_coverage(spark, sf_dir):
     m = _matched(spark, sf_dir)
     c = stats.coverage(m, "state", "matched").join(m.groupBy("state").agg(F.sum("weight").alias("weight")), "state")
-    return c.agg(F.round(F.avg("coverage"), 6).alias("plain"), F.round(stats.weighted_mean(c, "coverage", "weight"), 6).alias("weighted"))
+    return c.agg(F.round(F.avg("coverage"), 4).alias("plain"), F.round(stats.weighted_mean(c, "coverage", "weight"), 4).alias("weighted"))
 
 
 def coverage_quartiles(spark, sf_dir):
@@ -400,7 +400,7 @@ def _sql():
         "coverage_table": f"WITH {matched} SELECT *, {tiers} AS tier FROM {cov('state')}",
         "tier_summary": f"WITH {matched} SELECT {tiers} AS tier, count(*) AS states, CAST(sum(total) AS BIGINT) AS facilities FROM {cov('state')} GROUP BY 1",
         "representation_ratio": f"WITH {matched} SELECT sector, total, matched, round((matched / sum(matched) OVER ()) / (total / sum(total) OVER ()), 4) AS ratio FROM {cov('sector')}",
-        "weighted_coverage": f"WITH {matched} SELECT round(avg(coverage), 6) AS plain, round(sum(coverage * w) / sum(w), 6) AS weighted FROM {cov('state')} c JOIN (SELECT state AS s, sum(weight) AS w FROM m GROUP BY 1) k ON c.state = k.s",
+        "weighted_coverage": f"WITH {matched} SELECT round(avg(coverage), 4) AS plain, round(sum(coverage * w) / sum(w), 4) AS weighted FROM {cov('state')} c JOIN (SELECT state AS s, sum(weight) AS w FROM m GROUP BY 1) k ON c.state = k.s",
         "coverage_quartiles": f"""
             WITH {matched}, r AS (SELECT *, row_number() OVER (ORDER BY weight, state, name) AS k FROM m WHERE state IS NOT NULL), e AS (SELECT quantile_cont(k, [0.25, 0.5, 0.75]) AS q FROM r)
             SELECT CASE WHEN k <= q[1] THEN 1 WHEN k <= q[2] THEN 2 WHEN k <= q[3] THEN 3 ELSE 4 END AS bin, count(*) AS facilities, CAST(sum(matched::INT) AS BIGINT) AS matched FROM r, e GROUP BY 1""",

@@ -156,7 +156,7 @@ def row_categories(spark, sf_dir):
 
 def classify_title_v(spark, sf_dir):
     """Document decisions by counts of words; the whole texts are read."""
-    t = F.trim(F.regexp_replace(F.lower("text"), r"\s+", " "))
+    t = F.trim(F.regexp_replace(F.lower("text"), r"[\s\u00a0]+", " "))
     d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(t, F.lit("")).alias("t"))
     hits = lambda ps: reduce(lambda a, b: a + b, [F.regexp_count("t", F.lit(p)) for p in ps]).cast("bigint")
     d = d.select("doc_id", (F.col("t") == "").alias("nothing"), hits(TITLE_V).alias("title_v_hits"), hits(PERMIT).alias("permit_hits"), hits(NEGATIVE).alias("negative_hits"))
@@ -252,7 +252,7 @@ SQL = {
         FROM {P} WHERE NOT ({' OR '.join(f"coalesce(trim({c}) = 'ERROR', false)" for c in EQUIPMENT)})
             AND NOT ((coalesce(starts_with({S.strip('naics_code')}, '518210'), false) OR {_DC}) AND coalesce(upper({S.strip('facility_state_abbreviation')}) = 'VA', false))""",
     "classify_title_v": rf"""
-        WITH d AS (SELECT doc_id, coalesce(trim(regexp_replace(lower(text), '\s+', ' ', 'g')), '') AS t FROM documents),
+        WITH d AS (SELECT doc_id, coalesce(trim(regexp_replace(lower(text), '[\s\x{{00A0}}]+', ' ', 'g')), '') AS t FROM documents),
         h AS (SELECT doc_id, t = '' AS nothing, CAST({_sql_hits(TITLE_V)} AS BIGINT) AS title_v_hits, CAST({_sql_hits(PERMIT)} AS BIGINT) AS permit_hits, CAST({_sql_hits(NEGATIVE)} AS BIGINT) AS negative_hits FROM d)
         SELECT doc_id, CASE WHEN nothing THEN 'uncertain' WHEN (title_v_hits >= 1 AND permit_hits >= 2) OR (title_v_hits >= 2 AND permit_hits >= 1) THEN 'keep' WHEN title_v_hits = 0 OR permit_hits = 0 THEN 'drop' ELSE 'uncertain' END AS decision,
             title_v_hits, permit_hits, negative_hits FROM h""",
