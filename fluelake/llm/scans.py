@@ -234,7 +234,9 @@ def candidates(words: DataFrame) -> DataFrame:
 
 def misreadings(rows: DataFrame, broken: DataFrame, words: DataFrame) -> DataFrame:
     """(id, line_no, word, meant): every place of a misread word, a broken word at the line that has the misread part."""
-    found = cut(candidates(words))
+    # words that occur broken only are no part of the lexicon, but may be misread like the others
+    unknown = broken.select(F.col("joined").alias("word")).distinct().join(words, "word", "left_anti").withColumn("n", F.lit(1).cast("long"))
+    found = cut(candidates(words.unionByName(unknown)))
     body = rows.where(~F.col("running") & (F.size("words") > 0)).select("id", "line_no", "words")
     at = lambda i: F.struct(F.get("words", i).alias("word"), F.get("words", i - 1).alias("prev"), F.get("words", i + 1).alias("next"))
     places = body.select("id", "line_no", F.explode(F.transform(F.sequence(F.lit(0), F.size("words") - 1), at)).alias("p")).select("id", "line_no", "p.*")
@@ -242,10 +244,7 @@ def misreadings(rows: DataFrame, broken: DataFrame, words: DataFrame) -> DataFra
     pairs = cut(pairs.where("n > 1"))
     joined = broken.select("id", "line_no", F.col("joined").alias("word"), "prev", F.lit(None).cast("string").alias("next"), "first", "next_no")
     all_places = places.withColumns({"first": F.lit(None).cast("string"), "next_no": F.lit(None).cast("int")}).unionByName(joined)
-    # joined words are no part of the lexicon, so an unknown one is looked up by its own candidates
-    unknown = broken.select(F.col("joined").alias("word")).distinct().join(words, "word", "left_anti")
-    fresh = candidates(words.unionByName(unknown.withColumn("n", F.lit(1).cast("long")))).join(unknown, "word", "left_semi")
-    o = all_places.join(found.unionByName(fresh), "word")
+    o = all_places.join(found, "word")
     o = o.join(pairs.select(F.col("a").alias("prev"), F.col("b").alias("meant"), F.col("n").alias("before")), ["prev", "meant"], "left")
     o = o.join(pairs.select(F.col("a").alias("meant"), F.col("b").alias("next"), F.col("n").alias("after")), ["meant", "next"], "left").na.fill(0, ["before", "after"])
     context = (F.col("before") > 0).cast("int") + (F.col("after") > 0).cast("int")
