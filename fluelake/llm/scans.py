@@ -19,8 +19,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from fluelake.llm.canonical import distance
 from fluelake.runtime import cut
@@ -34,6 +37,7 @@ WORD = re.compile(r"[^\W_]+(?:['.|!][^\W_]+|[|])*[|]?|[|](?=[^\W\d_])[^\W_]+")
 PHRASES = "statement of basis draft final operating permit title v technical support document page pg no number of and the inc llc co corp company ltd incorporated".split()
 MONTHS = "january february march april may june july august september october november december".split()
 EDGE = 3
+TEXTS_AT_ONCE = 32
 # The strokes that scanned characters fall into; characters and pairs with the same strokes are confused
 # ("rn" and "m", "cl" and "d", "li" and "h", "1" and "l").
 STROKES = str.maketrans({
@@ -161,15 +165,19 @@ def lines(df: DataFrame, id_col: str, text: str, filename: str) -> DataFrame:
     """One row per line that is furniture or has text, with its words; see ``line_rows``."""
     d = df.select(F.col(id_col).alias("id"), F.col(filename).alias("filename"), F.col(text).alias("text")).where(F.col("text").isNotNull())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["id", *[c.split()[0] for c in LINE.split(", ")]]
-        for pdf in batches:
-            for a in range(0, len(pdf), 64):
-                p = pdf.iloc[a : a + 64]
-                out = [(i, *r) for i, f, t in zip(p["id"], p["filename"], p["text"]) for r in line_rows(t, f)]
-                yield pd.DataFrame(out, columns=names).astype({"next_no": "Int32"})
+    kind = df.schema[id_col].dataType.simpleString()
+    out = f"id {kind}, {LINE}"
+    form = to_arrow_schema(T._parse_datatype_string(out))
 
-    return d.mapInPandas(run, f"id {df.schema[id_col].dataType.simpleString()}, {LINE}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = form.names
+        for batch in batches:  # only a few texts at a time are Python objects
+            for a in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                i, f, t = (c.to_pylist() for c in batch.slice(a, TEXTS_AT_ONCE).columns)
+                rows = [(x, *r) for x, y, z in zip(i, f, t) for r in line_rows(z, y)]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), form.field(k).type) for k, c in enumerate(zip(*rows))] if rows else [pa.array([], x.type) for x in form], names=names)
+
+    return d.mapInArrow(run, out)
 
 
 def breaks(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
