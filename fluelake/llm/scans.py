@@ -1,7 +1,8 @@
 """Noise in text from scanned pages: furniture, broken words, misread characters; and the repair.
 
 Furniture is what stands alone at the edge of a page and is a page number, the file's name, or made of the document's
-title words and set phrases, or returns on other pages. A word broken by a line end is one whose halves make a word of
+title words and set phrases, or returns on other pages. Pages end at break markers and, as markers may be missing, at
+lines of page numbers in sequence and of the file's name. A word broken by a line end is one whose halves make a word of
 the corpus and whose hyphenated form is rarer. Misread words come from a symmetric-delete index over the corpus's
 frequency lexicon: words are indexed by a form in which characters that scans confuse are alike, with and without one
 letter left out; a rare word and a far more frequent one of the same form are a candidate pair, their weighted edit
@@ -16,6 +17,8 @@ counted from 1 at each newline. The page break marker is no noise. Repeated text
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -37,6 +40,8 @@ WORD = re.compile(r"[^\W_]+(?:['.|!][^\W_]+|[|])*[|]?|[|](?=[^\W\d_])[^\W_]+")
 PHRASES = "statement of basis draft final operating permit title v technical support document page pg no number of and the inc llc co corp company ltd incorporated".split()
 MONTHS = "january february march april may june july august september october november december".split()
 EDGE = 3
+#: A page without break markers has at least so many lines of text.
+LEAST_LINES = 6
 TEXTS_AT_ONCE = 32
 # The strokes that scanned characters fall into; characters and pairs with the same strokes are confused
 # ("rn" and "m", "cl" and "d", "li" and "h", "1" and "l").
@@ -71,6 +76,40 @@ def is_page_number(line: str) -> bool:
     return bool(digits) and len(digits) <= 2 and len(line) <= 24 and all(len(w) <= 5 for w in digits) and all(form(w) in _PAGE_WORDS or (len(w) == 1 and form(w) == "i") for w in others) and "." not in line.replace("pg.", "").replace("Pg.", "").replace("p.", "")
 
 
+NUMBERED = re.compile(r"(?i)\bpa\w\w \w{1,3} of \w{1,3}$|^\d{1,4} {3,}\D+$|^\D.* {3,}\d{1,4}$")
+_DIGITS = str.maketrans("lIiOoSB", "1110058")
+
+
+def page_numbers(texts: list[str]) -> set[int]:
+    """Places of the page numbers among lines of text: those with the word for page, a bar or dashes around, and
+    the others if most of them are in sequence."""
+    framed, plain = set(), []
+    for k, s in enumerate(texts):
+        if len(s) > 24 or not is_page_number(s):
+            continue
+        words = re.findall(r"[^\W_]+", s)
+        value = next((v for w in words if (v := w.translate(_DIGITS)).isdecimal()), None)
+        if value is None:
+            continue
+        if "|" in s or re.fullmatch(r"[-–].*[-–]", s) or any(len(w) > 1 and form(w) in _PAGE_WORDS for w in words):
+            framed.add(k)
+        else:
+            plain.append((int(value), k))
+    # the longest sequence of rising numbers with room for the pages between: the rest after LEAST_LINES a page may not
+    # fall; the last page may be shorter
+    ends, at, before = [], [], {}
+    for v, k in sorted(plain, key=lambda x: (x[0], -x[1])):
+        room = k - LEAST_LINES * v + (LEAST_LINES if k >= len(texts) - EDGE else 0)
+        i = bisect_right(ends, room)
+        before[k] = at[i - 1] if i else None
+        ends[i : i + 1], at[i : i + 1] = [room], [k]
+    chain, k = set(), at[-1] if at else None
+    while k is not None:
+        chain.add(k)
+        k = before[k]
+    return framed | chain if len(chain) > 1 and 2 * len(chain) > len(plain) else framed
+
+
 def _known(word: str, title: set[str], forms: set[str]) -> bool:
     return word in title or form(word) in forms or len(word) == 1 or any(c.isdigit() for c in word) and (word.isdigit() or len(word) <= 7)
 
@@ -87,6 +126,26 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
     title = _title_words(head, filename)
     forms = {form(w) for w in title if len(w) > 2}
     stem = re.sub(r"[^a-z0-9]", "", (filename or "").lower())
+
+    def names_file(s: str) -> bool:
+        return bool(re.fullmatch(r"[\w.\-]+\.(?:pdf|txt|tiff?)", s)) or (len(stem) > 5 and re.sub(r"[^a-z0-9]", "", s.lower()) in (stem, stem + "pdf", stem + "txt"))
+
+    def foot(s: str) -> bool:
+        return is_page_number(s) or names_file(s)
+
+    # where markers are missing a page ends after the lines of its foot
+    filled = [i for p in pages for i in p]
+    stripped = [lines[i].strip() for i in filled]
+    ends = {filled[k] for k in page_numbers(stripped)} | {i for i, s in zip(filled, stripped) if names_file(s)}
+    whole, pages, unmarked = pages, [], set()
+    for p in whole:
+        start = 0
+        for k, i in enumerate(p[:-1]):
+            if i in ends and p[k + 1] not in ends and EDGE <= k < len(p) - EDGE:
+                pages.append(p[start : k + 1])
+                unmarked.add(len(pages) - 1)
+                start = k + 1
+        pages.append(p[start:])
     mask = lambda s: "|".join(sorted(re.sub(r"\d+", "0", part.strip().lower()) for part in re.split(r"\s{3,}", s.strip())))
     tops: dict[str, int] = {}
     for p in pages[1:]:
@@ -94,9 +153,6 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
             tops[mask(lines[p[0]])] = tops.get(mask(lines[p[0]]), 0) + 1
     inside = {mask(lines[i]) for p in pages for i in p[1:-1]}
 
-    def foot(s: str) -> bool:
-        return is_page_number(s) or bool(re.fullmatch(r"[\w.\-]+\.(?:pdf|txt|tiff?)", s)) or (len(stem) > 5 and re.sub(r"[^a-z0-9]", "", s.lower()) in (stem, stem + "pdf", stem + "txt"))
-
     def running_head(i: int) -> bool:
         s = lines[i].strip()
         words = [w.lower() for w in re.findall(r"[^\W_]+", s)]
@@ -112,6 +168,8 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
             return False  # a numbered heading; the heads of a table's columns
         return tops.get(mask(s), 0) > 1 and mask(s) not in inside and not re.search(r"[a-z]{2,} [a-z]{2,} [a-z]{2,} [a-z]{2,} [a-z]{2,}", s)
 
+    feet = [next((i for i in p[::-1] if not foot(lines[i].strip())), None) for p in (pages[k] for k in sorted(unmarked))]
+    above = Counter(mask(lines[i]) for i in feet if i is not None)
     out: set[int] = set()
     for k, p in enumerate(pages):
         low = 0
@@ -120,11 +178,18 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
                 break
             out.add(i)
             low += 1
+        # the number may stand under the next page's head
+        if k in unmarked and low and (rest := p[: len(p) - low]) and above[mask(lines[rest[-1]])] > 1 and running_head(rest[-1]):
+            out.add(rest[-1])
+            low += 1
         for i in p[: len(p) - low][:EDGE]:  # downwards from the head
             if not (foot(lines[i].strip()) or (k and running_head(i))):
                 break
             out.add(i)
-    return out
+    # heads that hold the page number themselves, where neither marker nor foot shows the page's end
+    numbered = [i for i in filled if NUMBERED.search(lines[i].strip()) and running_head(i)]
+    returning = Counter(mask(lines[i]) for i in numbered)
+    return out | {i for i in numbered if returning[mask(lines[i])] > 1}
 
 
 def words_of(line: str) -> list[str]:

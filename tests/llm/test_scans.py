@@ -79,3 +79,29 @@ def test_edges(spark):
     assert got[1] is None and got[2] == "" and got[4] == "One sound line."
     assert N.found(d.limit(0)).count() == 0 and N.repaired(d.limit(0)).count() == 0
     assert N.found(d.selectExpr("*", "1 as id", "2 as text", "3 as words")).count() == 0
+
+
+def test_missing_page_breaks(spark):
+    rng = random.Random(8)
+    plain = lambda: [rng.choice(SENTENCES)[:60].rsplit(" ", 1)[0] for _ in range(20)]
+    texts = []
+    for style in ("Pg. {}/4", "Page {} of 4", "{} | Page", "- {} -", "{}"):
+        lines, want = [], set()
+        for n in range(1, 5):
+            if n > 1:
+                lines.append(f"{n}    TX-3623874-01")
+                want.add(len(lines))
+            lines += ["TX Division of Air Quality", "Permit TX-3623874-01", *plain()] if n == 1 else plain()
+            lines.append(style.format(n))
+            want.add(len(lines))
+        texts.append(("\n".join(lines), want))
+    # heads that hold the number, and no foot
+    heads = [[f"Permit TX-3623874-01    Page {n} of 4", *plain()] for n in (2, 3, 4)]
+    texts.append(("\n".join(["TX Division of Air Quality", "Permit TX-3623874-01", *plain(), *[x for h in heads for x in h]]), {23, 44, 65}))
+    # numbers that are data: no sequence with room for pages
+    texts.append(("\n".join(x for v in (12, 11, 40, 3, 2, 7, 1, 9) for x in (*plain()[:3], str(v))), {32}))
+    d = spark.createDataFrame([(i, "tx_1_doc", t) for i, (t, _) in enumerate(texts)], "text_id long, filename string, source string")
+    got = {(r.id, r.line_no) for r in N.found(d).where("noise = 'running'").collect()}
+    assert got == {(i, n) for i, (_, want) in enumerate(texts) for n in want}
+    for r in N.repaired(d.where("text_id < 5")).collect():
+        assert not any(f"{n}    TX-3623874-01" in r.repaired or texts[r.id][0].split("\n")[-1].replace("4", str(n), 1) in r.repaired.split("\n") for n in (2, 3))
