@@ -294,7 +294,7 @@ def candidates(words: DataFrame) -> DataFrame:
     rare = keys.select("word", "n", "form", "key")
     common = keys.where(F.col("n") >= LEAST * 2).select(F.col("word").alias("meant"), F.col("n").alias("n_meant"), F.col("form").alias("form_meant"), "key")
     same = F.col("form") == F.col("form_meant")
-    enough = F.when(same, F.col("n_meant") >= RATIO * F.col("n")).otherwise((F.col("n_meant") >= LONE * F.col("n")) & (F.col("n") <= 3) & (F.length("form") >= 5))
+    enough = F.when(same, F.col("n_meant") >= RATIO * F.col("n")).otherwise((F.col("n_meant") >= LONE * F.col("n")) & (F.length("form") >= 5))
     pairs = rare.join(common, "key").where((F.col("word") != F.col("meant")) & enough).select("word", "n", "meant", "n_meant").distinct()
 
     @F.pandas_udf("double")
@@ -320,11 +320,15 @@ def misreadings(rows: DataFrame, broken: DataFrame, words: DataFrame) -> DataFra
     o = all_places.join(found, "word")
     o = o.join(pairs.select(F.col("a").alias("prev"), F.col("b").alias("meant"), F.col("n").alias("before")), ["prev", "meant"], "left")
     o = o.join(pairs.select(F.col("a").alias("meant"), F.col("b").alias("next"), F.col("n").alias("after")), ["meant", "next"], "left").na.fill(0, ["before", "after"])
+    # how often the word as written stands so; the place itself is one
+    o = o.join(pairs.select(F.col("a").alias("prev"), F.col("b").alias("word"), F.col("n").alias("own_before")), ["prev", "word"], "left")
+    o = o.join(pairs.select(F.col("a").alias("word"), F.col("b").alias("next"), F.col("n").alias("own_after")), ["word", "next"], "left").na.fill(1, ["own_before", "own_after"])
+    more = (F.col("before") > F.col("own_before")).cast("int") + (F.col("after") > F.col("own_after")).cast("int")
     context = (F.col("before") > 0).cast("int") + (F.col("after") > 0).cast("int")
     sides = F.when(F.coalesce("prev", F.lit("")) != "", 1).otherwise(0) + F.when(F.col("next").isNotNull(), 1).otherwise(0)
     code = F.col("word").rlike("^[a-z][0-9]+[a-z]?$") | (F.length("word") < 4) & ~F.col("word").rlike("[0-9|]")
     plain = F.col("cost") < 1.0
-    ok = F.when(code, (context == 2) & plain).when(plain, (context > 0) | (sides == 0) & (F.length("word") > 5) | (F.col("n_meant") >= 100) & (F.length("word") > 6)).otherwise(context == F.greatest(F.lit(1), sides))
+    ok = F.when(code, (context == 2) & plain).when(plain, (context > 0) | (sides == 0) & (F.length("word") > 5) | (F.col("n_meant") >= LONE * F.col("n")) & (F.length("word") > 6)).otherwise(more == F.greatest(F.lit(1), sides))
     rank = F.struct(F.col("cost"), (-F.col("before") - F.col("after")).alias("seen"), F.col("meant"))
     best = o.where(ok).groupBy("id", "line_no", "word", "first", "next_no").agg(F.min(rank).alias("r"))
     second = F.col("first").isNotNull() & F.startswith(F.col("r.meant"), F.col("first"))

@@ -105,3 +105,11 @@ def test_missing_page_breaks(spark):
     assert got == {(i, n) for i, (_, want) in enumerate(texts) for n in want}
     for r in N.repaired(d.where("text_id < 5")).collect():
         assert not any(f"{n}    TX-3623874-01" in r.repaired or texts[r.id][0].split("\n")[-1].replace("4", str(n), 1) in r.repaired.split("\n") for n in (2, 3))
+
+
+def test_misreadings_at_every_size(spark):
+    one = ["The final report shall be sent."] * 62 + ["The final rport shall be sent."] + ["Each water tube boiler runs."] * 2 + ["Each water the boiler runs."] + ["The boiler runs."] * 150
+    for copies in (1, 10):
+        d = spark.createDataFrame([(i, "tx_1_doc", t) for i, t in enumerate(one * copies)], "text_id long, filename string, source string")
+        got = sorted(r.id for r in N.found(d).where("noise = 'ocr'").collect())
+        assert got == [62 + k * len(one) for k in range(copies)]
