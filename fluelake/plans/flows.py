@@ -47,12 +47,19 @@ def sheet_round_trip(spark, sf_dir):
     return io.read_sheets(spark, sheets).select("row_id", "facility_name", "source_sheet")
 
 
-def text_round_trip(spark, sf_dir):
-    """Whole texts written as files by state and read back with their size."""
-    d = table(spark, sf_dir, "extracted_text").where("source is not null and source <> ''").groupBy(F.substring("filename", 1, 2).alias("state")).agg(F.max_by("source", F.struct(F.length("source"), "text_id")).alias("text"))
+def texts_back(spark, sf_dir):
+    """(text_id, state, chars, chars_read): every text that is not empty, written as a file under its id and read back."""
+    d = table(spark, sf_dir, "extracted_text").where("source is not null and source <> ''").select("text_id", F.substring("filename", 1, 2).alias("state"), "source")
     path = io.fresh_folder(spark, "texts")
-    d.repartition("state").write.partitionBy("state").option("lineSep", "\u0001").text(path)
-    return io.read_texts(spark, path).select(F.regexp_extract(F.input_file_name(), "state=([a-z]{2})", 1).alias("state"), (F.col("n_chars") - 1).cast("bigint").alias("chars"))
+    d.select("text_id", F.col("source").alias("text")).write.partitionBy("text_id").option("lineSep", "\u0001").text(path)
+    back = io.read_texts(spark, path).select(F.regexp_extract(F.input_file_name(), "text_id=([^/]+)/", 1).cast(d.schema["text_id"].dataType).alias("text_id"), (F.col("n_chars") - 1).cast("bigint").alias("chars_read"))
+    return d.select("text_id", "state", F.length("source").cast("bigint").alias("chars")).join(back, "text_id", "full")
+
+
+def text_round_trip(spark, sf_dir):
+    """All texts written as files and read back, a text of another size is an error; the longest size by state."""
+    same = F.col("chars").eqNullSafe(F.col("chars_read"))
+    return texts_back(spark, sf_dir).groupBy("state").agg(F.max(F.when(same, F.col("chars_read")).otherwise(F.raise_error(F.concat(F.lit("changed text "), F.col("text_id").cast("string"))).cast("bigint"))).alias("chars"))
 
 
 def preview_rows(spark, sf_dir):
