@@ -54,6 +54,8 @@ TYPO_RATIO, TYPO_LENGTH = 8, 5
 #: Without a common frame a rare word must be within one edit of a word this many times as frequent.
 LONE_RATIO = 25
 MOST_REWRITES, MOST_ROUNDS = 200_000, 8
+#: A frame of more runs is paired in parts of so many.
+FRAME = 500
 RECORD = "number string, words array<string>, zip string, town string, state string"
 
 
@@ -143,7 +145,7 @@ def _normalised(places: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 
 def _candidates(places: DataFrame) -> DataFrame:
-    """(a, b, support, places of a, of b, frames of a): runs found in one frame, each with its frame's commonest run."""
+    """(a, b, support, places of a, of b, all places): runs found in one frame, every two of them, the rarer one as a."""
     d = places.select("number", "zip", "words").where("zip is not null and size(words) <= 12").distinct()
 
     def masked(n):
@@ -156,8 +158,13 @@ def _candidates(places: DataFrame) -> DataFrame:
     runs = d.select(F.explode(F.concat(masked(1), masked(2))).alias("x")).select("x.*").where("not run rlike '^[0-9 ]+$'").distinct()
     frequency = runs.groupBy("run").agg(F.count("*").alias("f"))
     both = runs.join(frequency, "run")
-    top = both.groupBy("frame").agg(F.max(F.struct("f", "run")).alias("top"), F.count("*").alias("n")).where("n > 1").select("frame", F.col("top.run").alias("b"), F.col("top.f").alias("f_b"))
-    pairs = both.join(top, "frame").where("run <> b").groupBy(F.col("run").alias("a"), F.col("f").alias("f_a"), "b", "f_b").agg(F.count("*").alias("support"))
+    # frames of one run have no pair; the others are split by salts, each part meeting all runs of its frame
+    several = runs.groupBy("frame").agg(F.count("*").alias("n")).where("n > 1").select("frame", F.ceil(F.col("n") / FRAME).alias("parts"))
+    each = both.join(several, "frame")
+    left = each.select("frame", F.pmod(F.xxhash64("run"), F.col("parts")).alias("part"), F.col("run").alias("a"), F.col("f").alias("f_a"))
+    right = each.select("frame", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("run").alias("b"), F.col("f").alias("f_b"))
+    rarer = (F.col("f_a") < F.col("f_b")) | (F.col("f_a") == F.col("f_b")) & (F.col("a") < F.col("b"))
+    pairs = left.join(right, ["frame", "part"]).where(rarer).groupBy("a", "f_a", "b", "f_b").agg(F.count("*").alias("support"))
     return pairs.join(F.broadcast(runs.agg(F.count("*").alias("all"))), F.lit(True))  # one row, one number
 
 

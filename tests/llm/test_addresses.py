@@ -59,3 +59,11 @@ def test_edges(spark):
     assert A.same_place(d.limit(0)).count() == 0
     clash = rows(spark, ("a", "1 A Street", "T", "12345", "TX"), ("b", "1 A St", "T", "12345", "TX")).selectExpr("*", "1 as file", "2 as r", "3 as number", "4 as words")
     assert pairs(clash) == [("a", "b")]
+
+
+def test_every_two_runs_of_a_frame_are_paired(spark):
+    r = []
+    for i in range(12):  # the commonest run of each frame is another street
+        r += [(f"{x}{i}", f"{100 + i} {n} Road", "T", f"1{i:04d}", "TX") for x, n in (("a", "Qldg"), ("b", "Quarrylanding"), ("c", "Mill"))]
+    r += [(f"d{i}", f"{200 + i} Mill Road", "T", f"2{i:04d}", "TX") for i in range(12)]
+    assert A.mined(A.cut(A.files(rows(spark, *r))))[1] == {"qldg": "quarrylanding", "qldg road": "quarrylanding road"}
