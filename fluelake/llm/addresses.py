@@ -1,6 +1,6 @@
 """Postal addresses that denote the same place, by mined rewrites.
 
-Addresses agreeing in house number and postal code, and in all words but one run of at most two, show how one thing is
+Addresses agreeing in house number and postal code (the town where there is none), and in all words but one run of at most two, show how one thing is
 written in two ways. Such pairs are counted over all addresses; those whose co-occurrence is significant become
 rewrites, the addresses are normalised again and matched again, until no new rewrite appears. Then two files lie at
 one place if number and street name agree (up to one typing error), stated types and directions do not differ, and the
@@ -146,7 +146,7 @@ def _normalised(places: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 def _candidates(places: DataFrame) -> DataFrame:
     """(a, b, support, places of a, of b, all places): runs found in one frame, every two of them, the rarer one as a."""
-    d = places.select("number", "zip", "words").where("zip is not null and size(words) <= 12").distinct()
+    d = places.select("number", F.coalesce("zip", F.concat(F.lit("t"), "town")).alias("zip"), "words").where("zip is not null").distinct()
 
     def masked(n):
         def at(i):

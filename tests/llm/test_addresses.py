@@ -67,3 +67,14 @@ def test_every_two_runs_of_a_frame_are_paired(spark):
         r += [(f"{x}{i}", f"{100 + i} {n} Road", "T", f"1{i:04d}", "TX") for x, n in (("a", "Qldg"), ("b", "Quarrylanding"), ("c", "Mill"))]
     r += [(f"d{i}", f"{200 + i} Mill Road", "T", f"2{i:04d}", "TX") for i in range(12)]
     assert A.mined(A.cut(A.files(rows(spark, *r))))[1] == {"qldg": "quarrylanding", "qldg road": "quarrylanding road"}
+
+
+def test_addresses_without_postal_code_and_long_ones_are_mined(spark):
+    far = "behind the old mill yard near the river bend by lower fields"
+    r = []
+    for i in range(12):
+        r += [(f"a{i}", f"{100 + i} Quarry Ldg Road", f"Town {chr(97 + i)}", None, "TX"), (f"b{i}", f"{100 + i} Quarry Landing Rd", f"Town {chr(97 + i)}", None, "TX")]
+        r += [(f"c{i}", f"{300 + i} Xbr {far} Road", "T", f"1{i:04d}", "TX"), (f"d{i}", f"{300 + i} Xanderbruck {far} Road", "T", f"1{i:04d}", "TX")]
+    found = A.mined(A.cut(A.files(rows(spark, *r))))[1]
+    assert found.get("landing") == "ldg" or found.get("ldg") == "landing"
+    assert found.get("xbr") == "xanderbruck" or found.get("xanderbruck") == "xbr"
