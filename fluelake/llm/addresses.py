@@ -53,7 +53,7 @@ SIGNIFICANT, SUPPORT, SHARE = 10.83, 2, 0.15
 TYPO_RATIO, TYPO_LENGTH = 8, 5
 #: Without a common frame a rare word must be within one edit of a word this many times as frequent.
 LONE_RATIO = 25
-MOST_REWRITES, MOST_ROUNDS = 200_000, 8
+MOST_REWRITES = 200_000
 #: A frame of more runs is paired in parts of so many.
 FRAME = 500
 RECORD = "number string, words array<string>, zip string, town string, state string"
@@ -211,11 +211,11 @@ def _corrections(rows, rules: dict[str, str]) -> dict[str, str]:
     return {a: b for a, (_, _, b) in best.items()}
 
 
-def mined(places: DataFrame, most_rounds: int = MOST_ROUNDS) -> tuple[DataFrame, dict[str, str]]:
+def mined(places: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The places with normalised words, and the rewrites found; stops when a round finds none."""
     places = cut(_normalised(places, SEED))
     found: dict[str, str] = {}
-    for _ in range(most_rounds):
+    while True:  # each round adds a run of the finite vocabulary as a key
         # only pairs that can pass leave the cluster
         worth = _candidates(places).where((F.col("support") >= SUPPORT) & (F.col("support") >= SHARE * F.col("f_a")) | (F.col("f_b") >= TYPO_RATIO * F.col("f_a")) & (F.levenshtein(F.replace("a", F.lit(" "), F.lit("")), F.replace("b", F.lit(" "), F.lit(""))) <= 2))
         rows = worth.limit(MOST_REWRITES + 1).collect()

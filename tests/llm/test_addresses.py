@@ -78,3 +78,10 @@ def test_addresses_without_postal_code_and_long_ones_are_mined(spark):
     found = A.mined(A.cut(A.files(rows(spark, *r))))[1]
     assert found.get("landing") == "ldg" or found.get("ldg") == "landing"
     assert found.get("xbr") == "xanderbruck" or found.get("xanderbruck") == "xbr"
+
+
+def test_rounds_end_only_when_none_is_new(spark, monkeypatch):
+    monkeypatch.setattr(A, "_accepted", lambda _, rules: {f"w{len(rules)}": f"w{len(rules) + 1}"} if len(rules) < 10 else {})
+    places = A.cut(A.files(rows(spark, ("a", "1 W0 Road", "T", "12345", "TX"))))
+    out, found = A.mined(places)
+    assert len(found) == 10 and out.first().words == ["w10", "road"]
