@@ -2,8 +2,12 @@
 
 Rows belong to one unit by their id, whatever its spelling; a row without an id belongs to the unit its description
 names. Of a unit's rows the Pareto-undominated ones over completeness, recency and trust form the skyline; a
-lexicographic policy picks the survivor from it, and the built record fills each field from the first dominance
-layer that has it.
+lexicographic policy (completeness, then date, then smallest id) picks the survivor, and the built record fills each
+field from the first dominance layer that has it. The policy does not look at trust, so rows that differ in trust
+alone are equal to it: the smallest id among them survives, though the skyline holds only the most trusted.
+
+A description without an id meets the names of its file through pieces of the name: of a name within k edits at least
+one of k + 1 pieces is untouched and has moved by at most k places, so pieces and places are the join keys.
 
 Defined results. A row that reports a failure or no unit, and one with neither id nor description, is no case and
 appears nowhere. Null dates are oldest, null trust is lowest. Repeated rows tie and the smallest id survives. An
@@ -16,13 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluelake.functions.blank import is_blank
-from fluelake.runtime import squashed
+from fluelake.runtime import squashed, stored
 
 UNIT_FIELDS = [
     "unit_id", "unit_description", "unit_quantity", "unit_make", "unit_model", "year_of_manufacture", "unit_type", "pollutants",
     "emission_limits", "opacity_limit", "throughput_production_limit", "control_devices", "capacity_value", "capacity_unit",
     "fuel_type", "rated_efficiency", "annual_run_hours", "generation_capacity", "applicable_neshap_nsps_subpart",
 ]
+#: Names under this length have no pieces; floor(n / (edits + 1)) is at most LONGEST_PIECE for every longer one.
+SHORT_NAME, LONGEST_PIECE = 2, 4
 MARK = r"(?:\bno\. ?|\bnumber |#)([0-9]+)"
 
 
@@ -49,18 +55,50 @@ def _names(description: Column) -> dict[str, Column]:
     return {"name": name, "number": F.regexp_extract(t, MARK, 1), "side": side, "place": F.trim(place)}
 
 
+def _edits(name: Column) -> Column:
+    """Edits forgiven in a name."""
+    return F.greatest(F.lit(1), F.floor(F.length(name) / 5).cast("int"))
+
+
+def _pieces(name: Column) -> Column:
+    """(gram, at): one more disjoint pieces of a name than edits are forgiven, at each place they may have moved to."""
+    k = _edits(name)
+    size = F.floor(F.length(name) / (k + 1)).cast("int")
+    piece = lambda i, move: F.struct(F.substring(name, i * size + 1, size).alias("gram"), (i * size + move).alias("at"))
+    each = F.transform(F.sequence(F.lit(0), k), lambda i: F.transform(F.sequence(-k, k), lambda move: piece(i, move)))
+    return F.when(F.length(name) >= SHORT_NAME, F.array_distinct(F.flatten(each)))
+
+
+def _grams(name: Column) -> Column:
+    """(gram, at): the parts of a name that have a length a piece can have."""
+    at = F.sequence(F.lit(0), F.length(name) - 1)
+    sizes = F.sequence(F.when(F.length(name) > 6, 3).otherwise(1), F.lit(LONGEST_PIECE))  # short pieces are of short names
+    each = F.transform(sizes, lambda q: F.transform(at, lambda i: F.struct(F.substring(name, i + 1, q).alias("gram"), i.alias("at"))))
+    return F.when(F.length(name) > 0, F.filter(F.flatten(each), lambda x: F.length(x["gram"]) + x["at"] <= F.length(name)))
+
+
 def completeness(fields: list[str] = UNIT_FIELDS) -> Column:
     """How many of the fields hold real information."""
     return sum((F.when(is_blank(F.col(f)), 0).otherwise(1) for f in fields[1:]), F.when(is_blank(F.col(fields[0])), 0).otherwise(1))
 
 
-def with_units(df: DataFrame) -> DataFrame:
-    """The rows that describe a unit, with the column ``unit``: the id, or what the description names."""
+def scored(df: DataFrame, fields: list[str]) -> DataFrame:
+    """The rows that describe a unit, with the column ``unit`` (the id, or what the description names), completeness
+    ``__c``, recency ``__d`` (days, null oldest), trust ``__t`` and the given fields.
+
+    The table is read once: what its patterns give is stored, and the joins below read that."""
     good = (squashed(F.col("status")) == "success") & F.col("filename").isNotNull()
-    named = ~is_blank(F.col("unit_description"))
-    needed = ["row_id", "filename", "status", "processing_date", "model_used", "pieces_failed", *UNIT_FIELDS]
-    d = df.select(*needed).where(good & (named | ~is_blank(F.col("unit_id")))).withColumn("__id", unit_key(F.col("unit_id")))
-    d = d.withColumns({f"__{k}": v for k, v in _names(F.col("unit_description")).items()})
+    described = ~is_blank(F.col("unit_description"))
+    day = F.coalesce(F.unix_date(F.try_to_date(F.trim("processing_date"), "yyyy-MM-dd")), F.lit(-1000000))
+    trust = F.when(F.lower("model_used").contains("large"), 2).otherwise(0) + F.when(F.trim("pieces_failed") == "0", 1).otherwise(0)
+    marks = {"__c": completeness(), "__d": day, "__t": F.coalesce(trust, F.lit(0)), "__named": described, "__id": unit_key(F.col("unit_id")), **{f"__{k}": v for k, v in _names(F.col("unit_description")).items()}}
+    read = df.where(good & (described | ~is_blank(F.col("unit_id")))).select("row_id", "filename", *fields, *[v.alias(k) for k, v in marks.items()])
+    return with_units(stored(read, "units"))
+
+
+def with_units(d: DataFrame) -> DataFrame:
+    """``d`` with the column ``unit`` instead of what it is made of."""
+    named = F.col("__named")
     with_id = d.where("__id is not null").withColumn("unit", F.concat(F.lit("id:"), "__id"))
     without = d.where("__id is null").select("filename", "__name", "__number", "__side", "__place").distinct()
     # a unit's number is that of its description, or else that of its id
@@ -68,22 +106,21 @@ def with_units(df: DataFrame) -> DataFrame:
     number = F.when(said, F.col("__number")).otherwise(F.regexp_extract("__id", r"([0-9]+)[A-Z]?$", 1))
     side = F.when(F.col("__side") != "", F.col("__side")).otherwise(F.lower(F.regexp_extract("__id", r"[0-9]([A-Z])$", 1)))
     known = with_id.where(named).select("filename", number.alias("__number"), side.alias("__side"), "unit", F.col("__name").alias("name"), F.col("__place").alias("place")).distinct()
-    # one name in one file and place: few candidates, all with the same number
-    pairs = without.join(known, ["filename", "__number", "__side"])
+    # one name in one file and place: names share an untouched piece, so that a file of many rows never meets itself whole
+    keys = ["filename", "__number", "__side"]
+    wanted = without.select("*", F.explode(_pieces(F.col("__name"))).alias("k")).select("*", "k.*").drop("k")
+    offered = known.select("*", F.explode(_grams(F.col("name"))).alias("k")).select("*", "k.*").drop("k")
+    met = wanted.join(offered, [*keys, "at", "gram"]).drop("at", "gram")
+    # a name too short to have pieces is compared with those as short
+    short = without.where(F.length("__name") < SHORT_NAME).join(known.where(F.length("name") <= SHORT_NAME), keys)
+    pairs = met.unionByName(short).distinct()
     same_place = (F.col("place") == F.col("__place")) | (F.levenshtein("place", "__place") <= 2)
     off = F.levenshtein(F.col("name"), F.col("__name"))
-    near = (off <= F.greatest(F.lit(1), F.length("__name") / 5)) & ((F.col("__number") != "") | same_place)
+    near = (off <= _edits(F.col("__name"))) & ((F.col("__number") != "") | same_place)
     best = pairs.where(near).groupBy("filename", "__name", "__number", "__side", "__place").agg(F.min(F.struct(off.alias("off"), F.when(same_place, 0).otherwise(1).alias("far"), F.col("unit"))).alias("best"))
     own = F.concat(F.lit("named:"), F.concat_ws("|", "__name", "__number", "__side", "__place"))
     joined = d.where("__id is null").join(best, ["filename", "__name", "__number", "__side", "__place"], "left").withColumn("unit", F.coalesce("best.unit", own)).drop("best")
-    return with_id.unionByName(joined).drop("__id", "__name", "__number", "__side", "__place")
-
-
-def scored(df: DataFrame) -> DataFrame:
-    """Rows of units with completeness ``c``, recency ``d`` (days, null oldest) and trust ``t``."""
-    day = F.coalesce(F.unix_date(F.try_to_date(F.trim("processing_date"), "yyyy-MM-dd")), F.lit(-1000000))
-    trust = F.when(F.lower("model_used").contains("large"), 2).otherwise(0) + F.when(F.trim("pieces_failed") == "0", 1).otherwise(0)
-    return with_units(df).withColumns({"__c": completeness(), "__d": day, "__t": F.coalesce(trust, F.lit(0))})
+    return with_id.unionByName(joined).drop("__id", "__named", "__name", "__number", "__side", "__place")
 
 
 def survivors(df: DataFrame) -> DataFrame:
@@ -91,7 +128,7 @@ def survivors(df: DataFrame) -> DataFrame:
 
     A unit's rows shrink before the shuffle to the best row of each completeness and trust (few values), so that no
     group, however large, meets in one task; the skyline is taken of what is left."""
-    d = scored(df).select("filename", "unit", "row_id", "__c", "__d", "__t")
+    d = scored(df, [])
     point = F.struct("__d", (-F.col("row_id")).alias("first"))
     corner = d.groupBy("filename", "unit", "__c", "__t").agg(F.max(point).alias("p"), F.count("*").alias("n"))
     candidate = F.struct("__c", F.col("p.__d").alias("__d"), F.col("p.first").alias("first"), "__t")
@@ -104,14 +141,16 @@ def survivors(df: DataFrame) -> DataFrame:
 
         return ~F.exists("all", dominates)
 
-    g = g.where("rows >= 2").withColumn("skyline", F.filter("all", undominated))
-    return g.select("filename", "unit", (-F.array_max("skyline")["first"]).alias("row_id"), "rows")
+    # the policy's best of the skyline, and then of all rows the policy calls equal to it, whatever their trust
+    g = g.where("rows >= 2").withColumn("best", F.array_max(F.filter("all", undominated)))
+    equal = F.filter("all", lambda x: (x["__c"] == F.col("best.__c")) & (x["__d"] == F.col("best.__d")))
+    return g.select("filename", "unit", (-F.array_max(equal)["first"]).alias("row_id"), "rows")
 
 
 def records(df: DataFrame, fields: list[str] = UNIT_FIELDS) -> DataFrame:
     """One record per unit, of all units: each field from the first dominance layer in which it holds information,
     there by completeness, date and smallest row id. A field no row has is null."""
-    d = scored(df)
+    d = scored(df, fields)
     points = d.groupBy("filename", "unit").agg(F.sort_array(F.collect_set(F.struct("__c", "__d", "__t")), asc=False).alias("points"))
 
     def step(done, p):

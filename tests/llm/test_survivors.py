@@ -48,7 +48,7 @@ def test_ties_repeats_empty_and_clashes(spark):
 
 def test_against_brute_force(spark):
     rng = random.Random(5)
-    data = [{"unit_id": f"U-{rng.randrange(12)}", "processing_date": rng.choice([None, "2020-01-01", "2020-01-02"]), **{f: rng.choice([None, "v", "N/A"]) for f in S.UNIT_FIELDS[2:8]}} for _ in range(200)]
+    data = [{"unit_id": f"U-{rng.randrange(12)}", "model_used": rng.choice([None, "small", "Large 2"]), "pieces_failed": rng.choice([None, "0", "3"]), "processing_date": rng.choice([None, "2020-01-01", "2020-01-02"]), **{f: rng.choice([None, "v", "N/A"]) for f in S.UNIT_FIELDS[2:8]}} for _ in range(200)]
     got = {r.unit: r.row_id for r in S.survivors(rows(spark, *data)).collect()}
     groups = {}
     for i, d in enumerate(data, 1):
@@ -60,3 +60,22 @@ def test_against_brute_force(spark):
             best = min(v, key=lambda x: (x[0], [-y for y in [0]], x[1], x[2]))
             want[k] = best[2]
     assert got == want
+
+
+def test_trust_breaks_no_tie(spark):
+    same = {"unit_id": "X1", "processing_date": "2020-01-01"}
+    d = rows(spark, {"unit_id": "Y"}, same | {"model_used": "small"}, same | {"model_used": "large"}, {"unit_id": "X1", "processing_date": "2019-01-01", "model_used": "large", "pieces_failed": "0"})
+    assert [(r.row_id, r.rows) for r in S.survivors(d).collect()] == [(2, 3)]
+
+
+def test_names_meet_through_pieces(spark):
+    """Every pair within the edits forgiven has a common piece; by brute force over all pairs."""
+    rng = random.Random(9)
+    names = ["".join(rng.choice("ab ") for _ in range(rng.randrange(0, 14))) for _ in range(60)] + ["auxiliary steam boiler of the north", "auxilliary steem boiler of the nroth", "steam boilers"]
+    d = spark.createDataFrame([(x,) for x in sorted(set(names))], "x string")
+    off = F.levenshtein("x", "y")
+    pairs = d.crossJoin(d.withColumnRenamed("x", "y"))  # a small fixture, by brute force
+    want = {(r.x, r.y) for r in pairs.where((off <= S._edits(F.col("x"))) & (F.length("x") >= S.SHORT_NAME)).collect()}
+    met = d.select("x", F.explode(S._pieces(F.col("x"))).alias("k")).join(d.select(F.col("x").alias("y"), F.explode(S._grams(F.col("x"))).alias("k")), "k").select("x", "y").distinct()
+    got = {(r.x, r.y) for r in met.where(off <= S._edits(F.col("x"))).collect()}
+    assert got == want and len(want) > 60
