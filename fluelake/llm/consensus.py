@@ -6,8 +6,9 @@ towards the answers they invite. The regularised dual is climbed by coordinates,
 items, alternating with the label posteriors. sigma of a field is drawn to the annotator's mean over fields, tau to
 zero. An item's answers are what annotators gave, and one more that stands for any answer nobody gave.
 
-Rounds are one pass each over the item table, which is written once to the shared folder; what leaves a task is a pair
-of sums per annotator and field.
+Rounds are one pass each over the item table, which is written once to the shared folder; what leaves a task is three
+sums per annotator and field. The ascent ends when no sigma moves by TOLERANCE any more; from round SETTLE on steps
+shrink with the round, so that it ends on any data. The last move of each sigma is reported beside it.
 
 Defined results. Blank and filler answers and null items, fields or annotators are no votes; an item without votes
 gives no row. Of several sheets of an annotator for an item the one recorded last counts, of equally late ones the
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from fluelake.functions.blank import is_blank
 from fluelake.runtime import cut, squashed
 
-ROUNDS, TAU_STEPS = 12, 3
+TOLERANCE, SETTLE, TAU_STEPS = 0.02, 20, 3
 #: Strength of the pulls on sigma (to the annotator's mean, and of that to START) and on tau.
 PULL_SIGMA, PULL_TAU, START = 4.0, 6.0, 1.5
 #: Annotator-field pairs whose sigma is sent to every worker; with more of them it is joined to the votes instead.
@@ -36,11 +37,12 @@ MOST_PAIRS = 200_000
 def normalised(answer: Column) -> Column:
     """Lower case, trimmed, single spaces; dates as yyyy-MM-dd; null for a blank or filler answer."""
     t = squashed(answer)
-    formats = ["MM/dd/yyyy", "M/d/yyyy", "yyyy/MM/dd", "MMMM d, yyyy", "MMM d, yyyy", "d MMM yyyy", "yyyyMMdd"]
-    shapes = [r"^\d\d/\d\d/\d{4}$", r"^\d{1,2}/\d{1,2}/\d{4}$", r"^\d{4}/\d\d/\d\d$", r"^[a-z]{4,} \d{1,2}, \d{4}$", r"^[a-z]{3} \d{1,2}, \d{4}$", r"^\d{1,2} [a-z]{3} \d{4}$", r"^(19|20)\d{6}$"]
+    formats = ["MM/dd/yyyy", "M/d/yyyy", "yyyy/MM/dd", "MMMM d, yyyy", "MMM d, yyyy", "d MMM yyyy"]
+    shapes = [r"^\d\d/\d\d/\d{4}$", r"^\d{1,2}/\d{1,2}/\d{4}$", r"^\d{4}/\d\d/\d\d$", r"^[a-z]{4,} \d{1,2}, \d{4}$", r"^[a-z]{3} \d{1,2}, \d{4}$", r"^\d{1,2} [a-z]{3} \d{4}$"]
     cased = F.initcap(t)
-    dates = [F.when(t.rlike(s), F.try_to_date(cased, f)) for s, f in zip(shapes[:-1], formats[:-1])]
-    return F.when(~is_blank(answer), F.coalesce(F.date_format(F.coalesce(*dates), "yyyy-MM-dd"), t))
+    dates = [F.when(t.rlike(s), F.try_to_date(cased, f)) for s, f in zip(shapes, formats)]
+    date = F.when(t.rlike(r"\d{4}"), F.date_format(F.coalesce(*dates), "yyyy-MM-dd"))  # every form has a year
+    return F.when(~is_blank(answer), F.coalesce(date, t))
 
 
 def votes(sheets: DataFrame, item="filename", annotator="reviewer", when="recorded_at", order="record_id", answers="field_summary") -> DataFrame:
@@ -107,42 +109,62 @@ def _look_up(items: DataFrame, sigma: DataFrame, most: int):
     rows = sigma.limit(most + 1).collect()
     if len(rows) <= most:
         sent = items.sparkSession.sparkContext.broadcast({(r.annotator, r.field): r.sigma for r in rows})
-        return items, lambda p: np.stack([[sent.value.get((a, f), START) for a in names] for names, f in zip(p["annotators"], p["field"])])
+
+        def read(p: pd.DataFrame) -> np.ndarray:
+            who, names, what, fields = _codes(p)
+            table = np.array([[sent.value.get((a, f), START) for f in fields] for a in names])
+            return table[who, what]
+
+        return items, read
     one = items.select("item", "field", F.posexplode("annotators").alias("pos", "annotator")).join(sigma, ["annotator", "field"], "left")
     one = one.groupBy("item", "field").agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("sigma", F.lit(START)).alias("s")))).alias("s"))
     return items.join(one.select("item", "field", F.col("s.s").alias("sigma")), ["item", "field"]), lambda p: np.stack([np.asarray(s) for s in p["sigma"]])
 
 
-def fitted(items: DataFrame, rounds: int = ROUNDS, most: int = MOST_PAIRS) -> DataFrame:
-    """(annotator, field, sigma, votes, reliability): tilts after the ascent, and the expected share of right answers."""
-    spark = items.sparkSession
+def _codes(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes (item, vote) of the votes' annotators and their names, and the same of the fields."""
+    who, names = pd.factorize(np.concatenate(p["annotators"].to_list()))
+    what, fields = pd.factorize(p["field"].to_numpy(object))
+    who = who.reshape(len(p), -1)
+    return who, names, np.broadcast_to(what[:, None], who.shape), fields
+
+
+def fitted(items: DataFrame, tolerance: float = TOLERANCE, most: int = MOST_PAIRS) -> DataFrame:
+    """(annotator, field, votes, sigma, change, reliability): tilts after the ascent, the last move of each, and the
+    expected share of right answers."""
     pairs = cut(items.select("field", F.explode("annotators").alias("annotator")).groupBy("annotator", "field").agg(F.count("*").alias("votes")))
-    sigma = pairs.withColumn("sigma", F.lit(START))
-    for r in range(rounds):
+    sigma = pairs.withColumns({"sigma": F.lit(START), "change": F.lit(0.0), "reliability": F.lit(0.0)})
+    done = 0
+    while True:
         table, read = _look_up(items, sigma.select("annotator", "field", "sigma"), most)
-        steps = 0 if r == 0 else TAU_STEPS
+        steps = 0 if done == 0 else TAU_STEPS
 
         def sums(batches: Iterator[pd.DataFrame], read=read, steps=steps) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                out: dict[tuple[str, str], np.ndarray] = {}
                 for p, x, k in _tables(pdf):
                     q, right = _solve(x, k, read(p), steps)
                     mine = np.take_along_axis(q, x, axis=1)
                     expected = (q[:, None, :] * right).sum(axis=2)
                     spread = (q[:, None, :] * right * (1 - right)).sum(axis=2)
-                    for names, f, m, e, s in zip(p["annotators"], p["field"], mine, expected, spread):
-                        for a, *z in zip(names, m, e, s):
-                            out.setdefault((a, f), np.zeros(3)).__iadd__(z)
-                yield pd.DataFrame([(a, f, *z) for (a, f), z in out.items()], columns=["annotator", "field", "mine", "expected", "spread"])
+                    who, names, what, fields = _codes(p)
+                    pair = (who * len(fields) + what).ravel()
+                    n = len(names) * len(fields)
+                    there = np.flatnonzero(np.bincount(pair, minlength=n))
+                    added = {c: np.bincount(pair, z.ravel(), n)[there] for c, z in (("mine", mine), ("expected", expected), ("spread", spread))}
+                    yield pd.DataFrame({"annotator": names[there // len(fields)], "field": fields[there % len(fields)], **added})
 
         part = table.mapInPandas(sums, "annotator string, field string, mine double, expected double, spread double")
         total = part.groupBy("annotator", "field").agg(F.sum("mine").alias("mine"), F.sum("expected").alias("expected"), F.sum("spread").alias("spread"))
         mean = sigma.groupBy("annotator").agg(((F.sum("sigma") + START) / (F.count("*") + 1)).alias("mean"))
         step = (F.col("mine") - F.col("expected") - PULL_SIGMA * (F.col("sigma") - F.col("mean"))) / (F.col("spread") + PULL_SIGMA)
-        new = F.greatest(F.lit(-3.0), F.least(F.lit(8.0), F.col("sigma") + F.greatest(F.lit(-1.5), F.least(F.lit(1.5), step))))
+        step = F.greatest(F.lit(-1.5), F.least(F.lit(1.5), step)) * min(1.0, SETTLE / (done + 1))
+        new = F.greatest(F.lit(-3.0), F.least(F.lit(8.0), F.col("sigma") + step))
         d = sigma.select("annotator", "field", "votes", "sigma").join(total, ["annotator", "field"]).join(mean, "annotator")
-        sigma = cut(d.select("annotator", "field", "votes", new.alias("sigma"), (F.col("mine") / F.col("votes")).alias("reliability")))
-    return sigma
+        sigma = cut(d.select("annotator", "field", "votes", new.alias("sigma"), F.abs(new - F.col("sigma")).alias("change"), (F.col("mine") / F.col("votes")).alias("reliability")))
+        done += 1
+        moved = sigma.agg(F.max("change")).first()[0]
+        if moved is None or (done > 1 and moved < tolerance):
+            return sigma
 
 
 def consensus(items: DataFrame, sigma: DataFrame, most: int = MOST_PAIRS) -> DataFrame:
@@ -165,10 +187,10 @@ def consensus(items: DataFrame, sigma: DataFrame, most: int = MOST_PAIRS) -> Dat
     return d.withColumn("agreement", F.nanvl("agreement", F.lit(None).cast("double")))
 
 
-def run(sheets: DataFrame, rounds: int = ROUNDS, **columns) -> tuple[DataFrame, DataFrame]:
+def run(sheets: DataFrame, tolerance: float = TOLERANCE, **columns) -> tuple[DataFrame, DataFrame]:
     """(consensus per item and field, annotators with sigma and reliability)."""
     items = cut(_items(votes(sheets, **columns)))
-    sigma = fitted(items, rounds)
+    sigma = fitted(items, tolerance)
     return consensus(items, sigma), sigma
 
 

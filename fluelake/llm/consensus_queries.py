@@ -17,7 +17,7 @@ def p3_found(spark, sf_dir):
 
 def p3_reviewers(spark, sf_dir):
     _, reviewers = consensus.run(table(spark, sf_dir, "validation_run"))
-    return reviewers.select(F.col("annotator").alias("reviewer"), F.col("field").alias("field_name"), "votes", "sigma", "reliability")
+    return reviewers.select(F.col("annotator").alias("reviewer"), F.col("field").alias("field_name"), "votes", "sigma", "change", "reliability")
 
 
 def p3_agreement(spark, sf_dir):

@@ -11,7 +11,8 @@ def p6_pieces(spark, sf_dir):
 
 
 def p6_found(spark, sf_dir):
-    return p6_pieces(spark, sf_dir).where(F.col("piece_no") <= 1).select("text_id", "boundary")
+    found = pieces.boundaries(table(spark, sf_dir, "extracted_text"), "text_id", "source")
+    return found.select(F.col("id").alias("text_id"), "boundary")
 
 
 QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces}

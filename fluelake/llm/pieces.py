@@ -18,11 +18,14 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 LIMIT, OVERLAP = 8000, 400
+TEXTS_AT_ONCE = 32
 KINDS = ["page", "paragraph", "line", "word"]
 # Separators of each kind; each includes the coarser ones.
 PAGE = r"(?:(?<=\n)|\A)[ \t]*--- Page Break ---[ \t]*(?=\n|\Z)|\f"
@@ -58,6 +61,18 @@ def coarsest(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[str
     return "none", np.array(cut, dtype=np.int64)
 
 
+def chain(successor: np.ndarray) -> np.ndarray:
+    """The starts on the way from the first one to the end (their number), by squaring the table of successors."""
+    n = len(successor)
+    jump = np.concatenate([successor, [n]])
+    marked = np.zeros(n + 1, dtype=bool)
+    marked[0] = True
+    while jump[0] != n:  # marked: the starts within 2^k steps; jump: the start 2^k steps on
+        marked[jump[marked]] = True
+        jump = jump[jump]
+    return np.flatnonzero(marked[:n])
+
+
 def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[str, list[tuple[int, int, int]]]:
     """The kind, and (start, fresh start, end) of each piece: from ``start`` to ``fresh start`` it repeats the end of
     the one before, at most ``overlap`` characters and less where the next block would not fit otherwise."""
@@ -78,31 +93,43 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[str,
     at = np.minimum(np.searchsorted(words, begin), len(words) - 1)
     begin = np.where((words[at] < start) & (words[at] >= begin), words[at], begin)
     successor = np.minimum(np.searchsorted(end, begin + limit, side="right"), n)
-    jump = np.concatenate([successor, [n]])
-    marked = np.zeros(n + 1, dtype=bool)
-    marked[0] = True
-    while jump[0] != n:  # marked: the starts within 2^k steps; jump: the start 2^k steps on
-        marked[jump[marked]] = True
-        jump = jump[jump]
-    cuts = np.flatnonzero(marked[:n])
+    cuts = chain(successor)
     last = successor[cuts] - 1
     return kind, [(int(begin[c]) if i else int(start[c]), int(start[c]), int(end[e])) for i, (c, e) in enumerate(zip(cuts, last))]
 
 
+def _each(df: DataFrame, id_col: str, text: str, limit: int, columns: str, rows) -> DataFrame:
+    """``rows(id, text)`` of every text over the limit, a few texts at a time."""
+    d = df.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where(F.length("text") > limit)
+    out = f"id {df.schema[id_col].dataType.simpleString()}, {columns}"
+    form = to_arrow_schema(T._parse_datatype_string(out))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                i, t = (c.to_pylist() for c in batch.slice(a, TEXTS_AT_ONCE).columns)
+                made = [r for x, y in zip(i, t) for r in rows(x, y)]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*made), form)] if made else [pa.array([], f.type) for f in form], names=form.names)
+
+    return d.mapInArrow(run, out)
+
+
 def split(df: DataFrame, id_col: str, text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """(id, boundary, piece_no from 1, start, fresh, end, piece): the pieces, in reading order, of every text of more
     than ``limit`` characters; positions count characters from 0."""
-    d = df.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where(F.length("text") > limit)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for i, t in zip(pdf["id"], pdf["text"]):
-                kind, cut = pieces(t, limit, overlap)
-                if not cut:
-                    rows.append((i, kind, 0, 0, 0, 0, ""))
-                rows += [(i, kind, k, s, f, e, t[s:e]) for k, (s, f, e) in enumerate(cut, 1)]
-            yield pd.DataFrame(rows, columns=["id", "boundary", "piece_no", "start", "fresh", "end", "piece"])
-
-    kind = df.schema[id_col].dataType.simpleString()
-    return d.mapInPandas(run, f"id {kind}, boundary string, piece_no int, start int, fresh int, end int, piece string")
+    def rows(i, t: str) -> list[tuple]:
+        kind, cut = pieces(t, limit, overlap)
+        return [(i, kind, k, s, f, e, t[s:e]) for k, (s, f, e) in enumerate(cut, 1)] or [(i, kind, 0, 0, 0, 0, "")]
+
+    return _each(df, id_col, text, limit, "boundary string, piece_no int, start int, fresh int, end int, piece string", rows)
+
+
+def boundaries(df: DataFrame, id_col: str, text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """(id, boundary, pieces): the kind of boundary each text over the limit is cut at, and into how many pieces."""
+
+    def rows(i, t: str) -> list[tuple]:
+        kind, cut = pieces(t, limit, overlap)
+        return [(i, kind, len(cut))]
+
+    return _each(df, id_col, text, limit, "boundary string, pieces int", rows)

@@ -67,11 +67,11 @@ def test_beats_majority_and_finds_the_careless(spark):
 
 def test_edges(spark):
     empty = spark.createDataFrame([], SCHEMA)
-    found, reviewers = C.run(empty, rounds=2)
+    found, reviewers = C.run(empty, tolerance=9.0)
     assert found.count() == 0 and reviewers.count() == 0
     rows = [sheet(1, "a", "f", {"k": "x"}), sheet(2, "b", "g", {"k": "b"}), sheet(3, "c", "g", {"k": "a"}), sheet(4, "a", "h", {"k": "N/A"}), sheet(5, "a", "long", {"k": "z" * 50_000})]
     d = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as item", "2 as annotator", "3 as label")
-    got = {r.item: r for r in C.run(d, rounds=2)[0].collect()}
+    got = {r.item: r for r in C.run(d, tolerance=9.0)[0].collect()}
     assert set(got) == {"f", "g", "long"} and got["f"].label == "x" and got["f"].agreement is None
     assert got["g"].agreement == 0.0 and got["g"].label in ("a", "b")
 
@@ -79,6 +79,15 @@ def test_edges(spark):
 def test_joined_sigma_gives_the_same(spark):
     _, _, rows = planted(items=30)
     items = C.cut(C._items(C.votes(spark.createDataFrame(rows, SCHEMA))))
-    a = {(r.annotator, r.field): r.sigma for r in C.fitted(items, 3).collect()}
-    b = {(r.annotator, r.field): r.sigma for r in C.fitted(items, 3, most=1).collect()}
+    a = {(r.annotator, r.field): r.sigma for r in C.fitted(items, 0.5).collect()}
+    b = {(r.annotator, r.field): r.sigma for r in C.fitted(items, 0.5, most=1).collect()}
     assert a == pytest.approx(b)
+
+
+def test_ascent_ends_when_nothing_moves(spark):
+    _, _, rows = planted(items=40)
+    items = C.cut(C._items(C.votes(spark.createDataFrame(rows, SCHEMA))))
+    fine = {(r.annotator, r.field): r for r in C.fitted(items, 0.002).collect()}
+    assert max(r.change for r in fine.values()) < 0.002
+    coarse = {(r.annotator, r.field): r.sigma for r in C.fitted(items).collect()}
+    assert coarse == pytest.approx({k: r.sigma for k, r in fine.items()}, abs=0.2)

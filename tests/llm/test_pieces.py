@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from fluelake.llm import pieces as P
 
 
@@ -32,17 +34,11 @@ def test_kind_against_splitting():
             assert P.coarsest(t, limit, 3)[0] == kind(t, limit), (t, limit)
 
 
-def greedy(text, limit, overlap):
-    """The cuts one after the other, from the same starts."""
-    _, b = P.coarsest(text, limit, overlap)
-    return [tuple(x) for x in b]
-
-
 def test_pieces_are_whole_and_small():
     for t in texts():
         for limit, overlap in ((20, 5), (60, 15)):
             _, got = P.pieces(t, limit, overlap)
-            b = greedy(t, limit, overlap)
+            b = [tuple(x) for x in P.coarsest(t, limit, overlap)[1]]
             assert [g[1] for g in got] == [s for s, _ in b if s in {g[1] for g in got}]
             covered = []
             for k, (s, fresh, e) in enumerate(got):
@@ -59,7 +55,15 @@ def test_pieces_are_whole_and_small():
                 assert nxt[1] - s > limit  # maximal
 
 
-def test_chain_equals_squaring():
+def test_squaring_equals_stepping():
+    rng = random.Random(4)
+    for n in [1, 2, 3, *(rng.randrange(1, 400) for _ in range(200))]:
+        successor = np.array([rng.randrange(i + 1, min(n, i + 1 + rng.choice([1, 3, 50])) + 1) for i in range(n)])
+        want, at = [], 0
+        while at < n:
+            want.append(at)
+            at = successor[at]
+        assert P.chain(successor).tolist() == want
     t = " ".join("w" * (1 + i % 7) for i in range(3000))
     _, got = P.pieces(t, 100, 20)
     assert len(got) > 100 and all(e - s <= 100 for s, _, e in got)
@@ -72,3 +76,6 @@ def test_rows(spark):
     assert [(r.piece_no, r.piece) for r in got if r.id == 4] == [(0, "")]
     assert len([r for r in got if r.id == 6 and r.piece_no == 1]) == 2
     assert P.split(d.limit(0), "text_id", "source").count() == 0
+    kinds = P.boundaries(d.selectExpr("*", "0 as id", "'q' as pieces"), "text_id", "source").collect()
+    assert sorted((r.id, r.boundary, r.pieces) for r in kinds) == sorted((i, next(r.boundary for r in got if r.id == i), max(r.piece_no for r in got if r.id == i)) for i in (1, 4, 6, 6))
+    assert P.boundaries(d.limit(0), "text_id", "source").count() == 0
