@@ -23,9 +23,13 @@ from pyspark.sql.window import Window
 from fluelake.llm.tokens import TOKENIZERS, VOCABULARY, token_count
 from fluelake.runtime import cut
 
-ROUNDS, SEED, SALTS = 100, 17, 64
-#: Cells raked on the driver; with more of them topics are raked as one.
-MOST_CELLS, MOST_TARGETS = 200_000, 100_000
+ROUNDS, SEED = 100, 17
+#: Raking ends when no weight moves by this.
+SETTLED = 1e-6
+#: Documents of one source and size are drawn in parts of about so many, and in no fewer parts than SALTS.
+PART, SALTS = 1_000_000, 64
+#: Cells and targets raked in one array; with more of them the same steps run as grouped sums over the cluster.
+MOST_CELLS = 200_000
 
 
 def sized(documents: DataFrame, targets: DataFrame, id_col="doc_id", text="text", source="source", lang="lang", topic="section", folder=TOKENIZERS, vocabulary=VOCABULARY) -> DataFrame:
@@ -46,7 +50,7 @@ def raked(tokens: np.ndarray, dims: list[np.ndarray], margins: list[np.ndarray],
         for d, m in [*zip(dims[1:], margins[1:]), (dims[0], margins[0])]:
             have = np.bincount(d, w * tokens, len(m))
             w = np.minimum(w * np.divide(m, have, out=np.zeros_like(m), where=have > 0)[d], cap)
-        if np.abs(w - old).max() < 1e-9:
+        if np.abs(w - old).max() < SETTLED:
             break
     for _ in range(len(tokens)):  # what a cap cut off goes to the source's other cells
         have = np.bincount(dims[0], w * tokens, len(margins[0]))
@@ -60,54 +64,77 @@ def raked(tokens: np.ndarray, dims: list[np.ndarray], margins: list[np.ndarray],
     return w
 
 
-def weights(d: DataFrame, targets: DataFrame) -> tuple[DataFrame, list[tuple]]:
-    """(source, lang, topic, weight) of each cell, and (source, target, repeats, tokens there are) of each target."""
-    t = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("repeats"))
-    goals = t.limit(MOST_TARGETS + 1).collect()
-    if len(goals) > MOST_TARGETS:
-        raise ValueError(f"more than {MOST_TARGETS} sources have a target")
-    counted = d.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
-    cells = counted.limit(MOST_CELLS + 1).collect()
-    by_topic = len(cells) <= MOST_CELLS
-    if not by_topic:
-        cells = counted.groupBy("source", "lang").agg(F.sum("tokens").alias("tokens")).withColumn("topic", F.lit(None).cast("string")).limit(MOST_CELLS + 1).collect()
-        if len(cells) > MOST_CELLS:
-            raise ValueError(f"more than {MOST_CELLS} pairs of source and language")
-    share = {g.source: (g.share or 0.0, g.repeats or 0) for g in goals}
-    sources = sorted({c.source for c in cells})
-    there = {s: sum(c.tokens for c in cells if c.source == s) for s in sources}
-    schema = "source string, lang string, topic string, weight double"
-    spark = d.sparkSession
-    report = [(g.source, g.share, g.repeats, there.get(g.source, 0)) for g in goals]
-    if not sources:
-        return spark.createDataFrame([], schema), report
-    aim = np.array([share[s][0] for s in sources])
-    aim /= aim.sum()
-    size = min(share[s][1] * there[s] / a for s, a in zip(sources, aim))
-    cells.sort(key=lambda c: (c.source, c.lang or "", c.topic or "", c.lang is None, c.topic is None))
-    tokens = np.array([c.tokens for c in cells], dtype=float)
-    dims, margins = [np.array([sources.index(c.source) for c in cells])], [aim * size]
-    for key in ("lang", "topic"):
-        names = {v: i for i, v in enumerate(dict.fromkeys(c[key] for c in cells))}
-        d_k = np.array([names[c[key]] for c in cells])
-        dims.append(d_k)
-        margins.append(np.bincount(d_k, tokens) / tokens.sum() * size)
-    w = raked(tokens, dims, margins, np.array([float(share[c.source][1]) for c in cells]))
-    rows = [(c.source, c.lang, c.topic if by_topic else None, float(x)) for c, x in zip(cells, w)]
-    out = spark.createDataFrame(rows, schema)
-    return (out if by_topic else out.withColumn("topic", F.lit("*"))), report
-
-
-def mix(documents: DataFrame, targets: DataFrame, seed: int = SEED, **columns) -> tuple[DataFrame, DataFrame]:
+def _summed(cells: DataFrame, key: str, **sums) -> DataFrame:
+    """``cells`` with sums over the cells of equal ``key`` beside them; a null is a value."""
+    total = cells.groupBy(F.col(key).alias("__k")).agg(*[F.sum(v).alias(k) for k, v in sums.items()])
+    return cells.join(total, F.col(key).eqNullSafe(F.col("__k"))).drop("__k")
+
+
+def raked_frame(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``raked`` as grouped sums: ``cells`` (source, lang, topic, tokens, aim_source, aim_lang, aim_topic, cap) with
+    ``weight``. A round is one pass per margin, written to the shared folder."""
+    w, t = F.col("weight"), F.col("tokens")
+    d = cells.withColumn("weight", F.lit(1.0))
+    for _ in range(rounds):
+        d = d.withColumn("old", w)
+        for key in ("lang", "topic", "source"):
+            d = _summed(d, key, have=w * t).withColumn("weight", F.least(w * F.when(F.col("have") > 0, F.col(f"aim_{key}") / F.col("have")).otherwise(0.0), F.col("cap"))).drop("have")
+        d = cut(d)
+        moved = d.agg(F.max(F.abs(w - F.col("old")))).first()[0]
+        d = d.drop("old")
+        if moved is None or moved < SETTLED:
+            break
+    while True:  # what a cap cut off goes to the source's other cells; each pass brings a source to its aim or a cell to its cap
+        free = w < F.col("cap") * (1 - 1e-12)
+        s = _summed(d, "source", have=w * t, room=F.when(free, w * t).otherwise(0.0))
+        lack = F.when(F.col("room") > 0, F.col("aim_source") - F.col("have")).otherwise(0.0)
+        s = cut(s.withColumn("lack", lack))
+        if s.where(F.col("lack") > 1e-9 * F.col("aim_source")).isEmpty():
+            return d
+        grow = F.greatest(F.lit(0.0), 1 + F.when(F.col("room") > 0, F.col("lack") / F.col("room")).otherwise(0.0))
+        d = s.withColumn("weight", F.when(free, F.least(w * grow, F.col("cap"))).otherwise(w)).drop("have", "room", "lack")
+
+
+def weights(d: DataFrame, targets: DataFrame, most: int = MOST_CELLS, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, bool]:
+    """(source, lang, topic, weight) of each cell; (source, target_share, max_repeats, tokens_available) of each
+    target; and whether the cells are few."""
+    goals = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+    cells = cut(d.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")))
+    there = cells.groupBy("source").agg(F.sum("tokens").alias("tokens_available"))
+    report = goals.join(there, "source", "left").na.fill(0, ["tokens_available"])
+    # the targets of sources that are there sum to one; the mix is as large as the scarcest source lets it be
+    used = report.where("tokens_available > 0").select("source", F.col("target_share").alias("share"), F.col("max_repeats").cast("double").alias("cap"), "tokens_available")
+    whole = used.agg(F.sum("share").alias("shares"), F.min(F.col("cap") * F.col("tokens_available") / F.col("share")).alias("least"), F.sum("tokens_available").alias("pool"))  # one row
+    aims = used.join(F.broadcast(whole), F.lit(True)).select("source", "cap", (F.col("least") * F.col("share")).alias("aim_source"), (F.col("least") * F.col("shares") / F.col("pool")).alias("part"))
+    c = cells.join(aims, "source")
+    for key in ("lang", "topic"):  # the shares of the pool
+        c = _summed(c, key, **{f"aim_{key}": F.col("tokens") * F.col("part")})
+    c = cut(c.drop("part").withColumn("tokens", F.col("tokens").cast("double")))
+    few = c.limit(most + 1).count() <= most
+    if not few:
+        return raked_frame(c, rounds).select("source", "lang", "topic", "weight"), report, few
+    rows = sorted(c.collect(), key=lambda r: (r.source, r.lang or "", r.topic or "", r.lang is None, r.topic is None))
+    dims, margins = [], []
+    for key in ("source", "lang", "topic"):
+        names = {v: i for i, v in enumerate(dict.fromkeys(r[key] for r in rows))}
+        dims.append(np.array([names[r[key]] for r in rows], dtype=int))
+        margins.append(np.array(list({r[key]: r[f"aim_{key}"] for r in rows}.values())))
+    w = raked(np.array([r.tokens for r in rows]), dims, margins, np.array([r.cap for r in rows]), rounds) if rows else []
+    out = d.sparkSession.createDataFrame([(r.source, r.lang, r.topic, float(x)) for r, x in zip(rows, w)], "source string, lang string, topic string, weight double")
+    return out, report, few
+
+
+def mix(documents: DataFrame, targets: DataFrame, seed: int = SEED, most_cells: int = MOST_CELLS, **columns) -> tuple[DataFrame, DataFrame]:
     """(id, source, tokens, repeats) of the documents in the mix, and the report of the shares, one row per target:
     (source, target_share, actual_share, max_repeats, documents, tokens, tokens_available)."""
     d = cut(sized(documents, targets, **columns))
-    cells, report = weights(d, targets)
-    topic = F.col("topic") if "*" not in [r.topic for r in cells.limit(1).collect()] else F.lit("*")
-    j = d.withColumn("topic", topic).alias("d").join(F.broadcast(cells).alias("c"), F.col("d.source").eqNullSafe(F.col("c.source")) & F.col("d.lang").eqNullSafe(F.col("c.lang")) & F.col("d.topic").eqNullSafe(F.col("c.topic")))
+    cells, report, few = weights(d, targets, most_cells)
+    c = F.broadcast(cells) if few else cells
+    j = d.alias("d").join(c.alias("c"), F.col("d.source").eqNullSafe(F.col("c.source")) & F.col("d.lang").eqNullSafe(F.col("c.lang")) & F.col("d.topic").eqNullSafe(F.col("c.topic")))
     j = j.select("d.*", "c.weight").withColumn("rest", F.col("weight") - F.floor("weight"))
     order = F.xxhash64(F.lit(seed), "id")
-    j = j.withColumns({"order": order, "salt": F.pmod(order, F.lit(SALTS))})
+    salts = max(SALTS, -(-d.count() // PART))
+    j = j.withColumns({"order": order, "salt": F.pmod(order, F.lit(salts))})
     # systematic draw: running sums inside (source, size, salt), shifted by the sums before, so that no task holds a source
     part = ["source", "bin", "salt"]
     sums = j.groupBy(*part).agg(F.sum("rest").alias("part"))
@@ -116,10 +143,9 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = SEED, **columns) -
     j = j.withColumn("run", run).join(shift, part).withColumn("to", F.col("run") + F.coalesce("shift", F.lit(0.0)) + 0.5)
     repeats = (F.floor("weight") + F.floor(F.round("to", 6)) - F.floor(F.round(F.col("to") - F.col("rest"), 6))).cast("int")
     chosen = cut(j.select("id", "source", "tokens", repeats.alias("repeats")).where("repeats > 0"))
-    spark = documents.sparkSession
-    goals = spark.createDataFrame(report, "source string, target_share double, max_repeats int, tokens_available long")
     got = chosen.groupBy("source").agg(F.count("*").alias("documents"), F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"))
-    r = goals.join(got, "source", "left").na.fill(0, ["documents", "tokens"])
-    total = F.sum("tokens").over(Window.partitionBy(F.lit(1)))  # one row per target, their number checked
-    r = r.withColumn("actual_share", F.when(total > 0, F.col("tokens") / total).otherwise(0.0))
+    r = report.join(got, "source", "left").na.fill(0, ["documents", "tokens"])
+    total = got.agg(F.sum("tokens").alias("all"))  # one row
+    share = F.when(F.col("all") > 0, F.col("tokens") / F.col("all")).otherwise(0.0)
+    r = r.join(F.broadcast(total), F.lit(True)).withColumn("actual_share", share)
     return chosen, r.select("source", "target_share", "actual_share", "max_repeats", "documents", "tokens", "tokens_available")

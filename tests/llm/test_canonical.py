@@ -62,3 +62,38 @@ def test_rows(spark):
     assert {r.ref_id for r in C.mapped(rows, ref.limit(0), "row_id", ["fuel_type"]).collect()} == {0}
     with pytest.raises(ValueError):
         C.mapped(rows, ref, "row_id", ["fuel_type"], most_entries=2)
+
+
+def planted_list(n=300, seed=8):
+    rng = random.Random(seed)
+    parts = ["ther", "mal", "oxid", "boil", "er", "gen", "dry", "ing", "kiln", "fur", "nace", "tur", "bine", "press", "ure", "flu", "id", "bed", "no", "2"]
+    vocabulary = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 4))) for _ in range(120)]
+    entries = [(i + 1, [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 5)))]) for i in range(n)]
+    values = []
+    for _ in range(400):
+        w = list(rng.choice(entries)[1][0])
+        for _ in range(rng.randrange(0, 4)):
+            k = rng.randrange(len(w))
+            w[k : k + 1] = rng.choice([[], [w[k], w[k]], ["x"], [" "], ["1"]]) if len(w) > 2 else [w[k]]
+        values.append("".join(w) + rng.choice(["", "", " old", " zzz unit"]))
+    return entries, [*values, "", "#", "t b", "ob", "gd er", "7"]
+
+
+def test_index_loses_no_word_and_no_name():
+    """The index reaches every word of positive likeness, and the bound hides none of the two best names."""
+    entries, values = planted_list()
+    m = C.Matcher(entries)
+    for v in {w for x in values for w in C.words(x)}:
+        brute = {v: 1.0} if v in m.weight else {c: s for c in m.weight if (s := C.likeness(v, c)) > 0}
+        assert m.near(v) == brute, v
+    whole = C.Matcher(entries)
+    whole.reached = lambda v, joins: [(9.0, i) for i in range(len(whole.names))]  # every name is scored
+    for v in values:
+        assert m.find(v)[:2] == whole.find(v)[:2], v
+
+
+def test_long_words_are_split():
+    a, b = "polychlorinatedbiphenyl", "decontaminationchamber"
+    m = C.Matcher([(1, [f"{a} {b}"]), (2, ["boiler"])])
+    assert len(a + b) > 40 and m.find(f"the {a}{b[:-1]}x")[0] == 1
+    assert m.find("q" * 50_000) == (0, "none", 0.0)

@@ -47,3 +47,14 @@ def test_edges(spark):
     assert M.mix(d.selectExpr("*", "1 as id", "2 as weight", "3 as bin", "4 as tokens"), t)[0].count() == 2
     one, t1 = frames(spark, [(1, "x " * 30_000, "s", "en", "t")], [("s", 1.0, 1)])
     assert M.mix(one, t1)[0].count() == 1
+
+
+def test_many_cells_are_raked_alike(spark):
+    """As grouped sums over the cluster the cells get the weights that one array gives, topics included."""
+    docs = [(i, "water " * (1 + i % 9), f"s{i % 4}" if i % 11 else "s0", ["en", "es", None][i % 3], f"t{i // 3 % 3}" if i % 5 else None) for i in range(400)]
+    d, t = frames(spark, docs, [("s0", 0.5, 1), ("s1", 0.2, 3), ("s2", 0.2, 2), ("s3", 0.1, 1)])
+    key = lambda r: (r.source, r.lang or "", r.topic or "")
+    sized = M.cut(M.sized(d, t))
+    one = {key(r): r.weight for r in M.weights(sized, t, rounds=3)[0].collect()}
+    many = {key(r): r.weight for r in M.weights(sized, t, most=3, rounds=3)[0].collect()}
+    assert len(one) > 30 and many == pytest.approx(one, abs=1e-6)
