@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -31,14 +31,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from fluelake.llm.canonical import distance
 from fluelake.runtime import cut
 
+#: Rows sent to every worker; more of them are joined by shuffle.
+MOST_SENT = 200_000
+
 BREAK = re.compile(r"^[ \t]*--- Page Break ---[ \t]*$|^[ \t]*\f[ \t\f]*$")
 HYPHENS = "-­¬‐"
+HYPHENED = set(HYPHENS)
 BROKEN = re.compile(rf"([^\W\d_][\w'|]*)([{HYPHENS}])[ \t]*$")
 LEADING = re.compile(r"^[ \t]*([^\W\d_][\w'|]*)")
+COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 WORD = re.compile(r"[^\W_]+(?:['.|!][^\W_]+|[|])*[|]?|[|](?=[^\W\d_])[^\W_]+")
 # Phrases that running heads are made of besides a document's own title.
 PHRASES = "statement of basis draft final operating permit title v technical support document page pg no number of and the inc llc co corp company ltd incorporated".split()
 MONTHS = "january february march april may june july august september october november december".split()
+#: A page's end is not looked for so near to the beginning or end of what the markers leave.
 EDGE = 3
 #: A page without break markers has at least so many lines of text.
 LEAST_LINES = 6
@@ -59,6 +65,16 @@ def form(word: str) -> str:
     return word.lower().translate(STROKES)
 
 
+def _formed(word: Column) -> Column:
+    """``form`` of lower-case words as an expression: first what becomes one stroke, then what becomes several."""
+    one = {chr(a): b for a, b in STROKES.items() if len(b) == 1}
+    t = F.translate(word, "".join(one), "".join(one.values()))
+    for a, b in STROKES.items():
+        if len(b) > 1:
+            t = F.replace(t, F.lit(chr(a)), F.lit(b))
+    return t
+
+
 def _title_words(text_lines: list[str], filename: str | None) -> set[str]:
     words = {w.lower() for line in text_lines for w in re.findall(r"[^\W_]+", line)}
     return words | {w.lower() for w in re.findall(r"[^\W_]+", filename or "")} | set(PHRASES) | set(MONTHS)
@@ -69,13 +85,16 @@ _PAGE_WORDS = {form(w) for w in ("page", "pg", "of", "p", "pagc")}
 
 def is_page_number(line: str) -> bool:
     """Nothing but a number, and perhaps the word for page and a total."""
+    if len(line) > 24:
+        return False
     words = re.findall(r"[^\W_]+", line)
     framed = re.fullmatch(r"\W*[\[(\-–].*[\])\-–]\W*|(?i:pa\w{2}|pg)\b.*|.*\|.*", line.strip()) is not None
     digits = [w for w in words if any(c.isdigit() for c in w) or (framed and len(w) < 4 and set(w) <= set("lIOoSB"))]
     others = [w for w in words if w not in digits]
-    return bool(digits) and len(digits) <= 2 and len(line) <= 24 and all(len(w) <= 5 for w in digits) and all(form(w) in _PAGE_WORDS or (len(w) == 1 and form(w) == "i") for w in others) and "." not in line.replace("pg.", "").replace("Pg.", "").replace("p.", "")
+    return bool(digits) and len(digits) <= 2 and all(len(w) <= 5 for w in digits) and all(form(w) in _PAGE_WORDS or (len(w) == 1 and form(w) == "i") for w in others) and "." not in line.replace("pg.", "").replace("Pg.", "").replace("p.", "")
 
 
+FILE, FIRST = re.compile(r"[\w.\-]+\.(?:pdf|txt|tiff?)"), re.compile(r"[a-z0-9]")
 NUMBERED = re.compile(r"(?i)\bpa\w\w \w{1,3} of \w{1,3}$|^\d{1,4} {3,}\D+$|^\D.* {3,}\d{1,4}$")
 _DIGITS = str.maketrans("lIiOoSB", "1110058")
 
@@ -85,7 +104,7 @@ def page_numbers(texts: list[str]) -> set[int]:
     the others if most of them are in sequence."""
     framed, plain = set(), []
     for k, s in enumerate(texts):
-        if len(s) > 24 or not is_page_number(s):
+        if not is_page_number(s):
             continue
         words = re.findall(r"[^\W_]+", s)
         value = next((v for w in words if (v := w.translate(_DIGITS)).isdecimal()), None)
@@ -128,7 +147,11 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
     stem = re.sub(r"[^a-z0-9]", "", (filename or "").lower())
 
     def names_file(s: str) -> bool:
-        return bool(re.fullmatch(r"[\w.\-]+\.(?:pdf|txt|tiff?)", s)) or (len(stem) > 5 and re.sub(r"[^a-z0-9]", "", s.lower()) in (stem, stem + "pdf", stem + "txt"))
+        if "." in s and " " not in s and FILE.fullmatch(s):
+            return True
+        low = s.lower()
+        first = FIRST.search(low) if len(stem) > 5 else None
+        return first is not None and first[0] == stem[0] and re.sub(r"[^a-z0-9]", "", low) in (stem, stem + "pdf", stem + "txt")
 
     def foot(s: str) -> bool:
         return is_page_number(s) or names_file(s)
@@ -151,7 +174,7 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
     for p in pages[1:]:
         if p:
             tops[mask(lines[p[0]])] = tops.get(mask(lines[p[0]]), 0) + 1
-    inside = {mask(lines[i]) for p in pages for i in p[1:-1]}
+    inside: set[str] = set()  # made when a line first asks for it
 
     def running_head(i: int) -> bool:
         s = lines[i].strip()
@@ -166,14 +189,18 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
         columns = [len(re.split(r"\t| {3,}", x.strip())) for x in (s, below)]
         if re.match(r"\d+\.\d", s) or columns[0] > 2 and columns[0] == columns[1]:
             return False  # a numbered heading; the heads of a table's columns
-        return tops.get(mask(s), 0) > 1 and mask(s) not in inside and not re.search(r"[a-z]{2,} [a-z]{2,} [a-z]{2,} [a-z]{2,} [a-z]{2,}", s)
+        if tops.get(mask(s), 0) < 2:
+            return False
+        if not inside:
+            inside.update(mask(lines[i]) for p in pages for i in p[1:-1])
+        return mask(s) not in inside and not re.search(r"[a-z]{2,} [a-z]{2,} [a-z]{2,} [a-z]{2,} [a-z]{2,}", s)
 
     feet = [next((i for i in p[::-1] if not foot(lines[i].strip())), None) for p in (pages[k] for k in sorted(unmarked))]
     above = Counter(mask(lines[i]) for i in feet if i is not None)
     out: set[int] = set()
     for k, p in enumerate(pages):
         low = 0
-        for i in p[::-1][:EDGE]:  # upwards from the foot
+        for i in p[::-1]:  # upwards from the foot
             if not foot(lines[i].strip()):
                 break
             out.add(i)
@@ -182,18 +209,18 @@ def furniture(lines: list[str], filename: str | None) -> set[int]:
         if k in unmarked and low and (rest := p[: len(p) - low]) and above[mask(lines[rest[-1]])] > 1 and running_head(rest[-1]):
             out.add(rest[-1])
             low += 1
-        for i in p[: len(p) - low][:EDGE]:  # downwards from the head
+        for i in p[: len(p) - low]:  # downwards from the head
             if not (foot(lines[i].strip()) or (k and running_head(i))):
                 break
             out.add(i)
     # heads that hold the page number themselves, where neither marker nor foot shows the page's end
-    numbered = [i for i in filled if NUMBERED.search(lines[i].strip()) and running_head(i)]
+    numbered = [i for i in filled if ("   " in lines[i] or " of " in lines[i].lower()) and NUMBERED.search(lines[i].strip()) and running_head(i)]
     returning = Counter(mask(lines[i]) for i in numbered)
     return out | {i for i in numbered if returning[mask(lines[i])] > 1}
 
 
 def words_of(line: str) -> list[str]:
-    return [w.lower() for w in WORD.findall(line)]
+    return WORD.findall(line.lower())
 
 
 def line_rows(text: str, filename: str | None) -> list[tuple]:
@@ -214,11 +241,11 @@ def line_rows(text: str, filename: str | None) -> list[tuple]:
             t = LEADING.sub("", t, count=1)
             carried = None
         j = following.get(i)
-        m = BROKEN.search(t)
+        m = BROKEN.search(t) if t.rstrip(" \t")[-1:] in HYPHENED else None
         if m and j is not None and (n := LEADING.match(lines[j])):
             first, mark, second = m[1].lower(), m[2], n[1].lower()
             carried, t = True, t[: m.start()]
-        compounds = [c.lower() for c in re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)+", t)]
+        compounds = COMPOUND.findall(t.lower()) if "-" in t else []
         rows.append((i + 1, s, False, words_of(t), compounds, first, second, mark, j + 1 if first else None))
     return rows
 
@@ -281,12 +308,7 @@ def candidates(words: DataFrame) -> DataFrame:
     """(word, meant, cost): rare words and far more frequent ones of the same form or one letter off."""
     letters = words.where("word rlike '[a-z]' and length(word) > 1")
 
-    @F.pandas_udf("string")
-    def formed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for w in batches:
-            yield w.map(form)
-
-    f = cut(letters.withColumn("form", formed("word")))
+    f = cut(letters.withColumn("form", _formed(F.col("word"))))
     left = lambda i: F.concat(F.substring(F.col("form"), F.lit(1), i - 1), F.substring(F.col("form"), i + 1, F.length("form")))
     shorter = F.when(F.length("form") >= 5, F.transform(F.sequence(F.lit(1), F.length("form")), left)).otherwise(F.expr("cast(array() as array<string>)"))
     keys = f.withColumn("key", F.explode(F.array_distinct(F.concat(F.array("form"), shorter))))
@@ -305,24 +327,37 @@ def candidates(words: DataFrame) -> DataFrame:
     return pairs.withColumn("cost", costs("word", "meant")).where(F.col("cost") <= MOST_COST)
 
 
+def _sent(df: DataFrame, most: int = MOST_SENT) -> DataFrame:
+    """``df``, marked for broadcast if it has no more than ``most`` rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def misreadings(rows: DataFrame, broken: DataFrame, words: DataFrame) -> DataFrame:
     """(id, line_no, word, meant): every place of a misread word, a broken word at the line that has the misread part."""
     # words that occur broken only are no part of the lexicon, but may be misread like the others
     unknown = broken.select(F.col("joined").alias("word")).distinct().join(words, "word", "left_anti").withColumn("n", F.lit(1).cast("long"))
     found = cut(candidates(words.unionByName(unknown)))
+    sent = _sent(found)
     body = rows.where(~F.col("running") & (F.size("words") > 0)).select("id", "line_no", "words")
-    at = lambda i: F.struct(F.get("words", i).alias("word"), F.get("words", i - 1).alias("prev"), F.get("words", i + 1).alias("next"))
-    places = body.select("id", "line_no", F.explode(F.transform(F.sequence(F.lit(0), F.size("words") - 1), at)).alias("p")).select("id", "line_no", "p.*")
-    pairs = places.where("next is not null").groupBy(F.col("word").alias("a"), F.col("next").alias("b")).agg(F.count("*").alias("n"))
-    pairs = cut(pairs.where("n > 1"))
+    # only the places of words in question leave the lines
+    places = body.select("id", "line_no", "words", F.posexplode("words").alias("pos", "word")).join(_sent(cut(found.select("word").distinct())), "word", "left_semi")
+    places = places.select("id", "line_no", "word", F.get("words", F.col("pos") - 1).alias("prev"), F.get("words", F.col("pos") + 1).alias("next"))
     joined = broken.select("id", "line_no", F.col("joined").alias("word"), "prev", F.lit(None).cast("string").alias("next"), "first", "next_no")
     all_places = places.withColumns({"first": F.lit(None).cast("string"), "next_no": F.lit(None).cast("int")}).unionByName(joined)
-    o = all_places.join(found, "word")
-    o = o.join(pairs.select(F.col("a").alias("prev"), F.col("b").alias("meant"), F.col("n").alias("before")), ["prev", "meant"], "left")
-    o = o.join(pairs.select(F.col("a").alias("meant"), F.col("b").alias("next"), F.col("n").alias("after")), ["meant", "next"], "left").na.fill(0, ["before", "after"])
+    o = cut(all_places.join(sent, "word"))
+    # of the pairs of neighbours only those asked for are counted, all over the corpus
+    asked = {"before": ("prev", "meant"), "after": ("meant", "next"), "own_before": ("prev", "word"), "own_after": ("word", "next")}
+    wanted = [o.select(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in asked.values()]
+    wanted = cut(wanted[0].unionByName(wanted[1]).unionByName(wanted[2]).unionByName(wanted[3]).where("a is not null and b is not null").distinct())
+    pair = F.xxhash64("a", "b")
+    two = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1)))
+    lines_of_two = body.where(F.size("words") > 1).select(F.explode(two).alias("pair"))
+    pairs = lines_of_two.join(_sent(wanted.select(pair.alias("pair")).distinct()), "pair", "left_semi").groupBy("pair").agg(F.count("*").alias("n"))
+    pairs = cut(wanted.join(pairs.withColumnRenamed("pair", "h"), pair == F.col("h")).select("a", "b", "n"))
+    for name, (x, y) in asked.items():
+        o = o.join(pairs.select(F.col("a").alias(x), F.col("b").alias(y), F.col("n").alias(name)), [x, y], "left")
     # how often the word as written stands so; the place itself is one
-    o = o.join(pairs.select(F.col("a").alias("prev"), F.col("b").alias("word"), F.col("n").alias("own_before")), ["prev", "word"], "left")
-    o = o.join(pairs.select(F.col("a").alias("word"), F.col("b").alias("next"), F.col("n").alias("own_after")), ["word", "next"], "left").na.fill(1, ["own_before", "own_after"])
+    o = o.na.fill(0, ["before", "after"]).na.fill(1, ["own_before", "own_after"])
     more = (F.col("before") > F.col("own_before")).cast("int") + (F.col("after") > F.col("own_after")).cast("int")
     context = (F.col("before") > 0).cast("int") + (F.col("after") > 0).cast("int")
     sides = F.when(F.coalesce("prev", F.lit("")) != "", 1).otherwise(0) + F.when(F.col("next").isNotNull(), 1).otherwise(0)

@@ -113,3 +113,19 @@ def test_misreadings_at_every_size(spark):
         d = spark.createDataFrame([(i, "tx_1_doc", t) for i, t in enumerate(one * copies)], "text_id long, filename string, source string")
         got = sorted(r.id for r in N.found(d).where("noise = 'ocr'").collect())
         assert got == [62 + k * len(one) for k in range(copies)]
+
+
+def test_heads_of_any_height_and_page_number_last():
+    head = ["Alder Ridge Works", "Title V Operating Permit", "Permit No. VA-3623874-01", "Draft Statement of Basis", "Page 2 of 3"]
+    text = ["ALDER RIDGE WORKS", "Permit VA-3623874-01", "", "The owner shall keep records of each inspection."]
+    text += ["--- Page Break ---", *head, "The second page begins in the middle of a sentence here."]
+    at = text.index(head[0])
+    assert N.furniture(text, "x.pdf") == set(range(at, at + len(head)))
+
+
+def test_forms_as_expression(spark):
+    from pyspark.sql import functions as F
+
+    words = ["modern", "rn", "c1ean", "hill", "|nlet", "wwm", "50x0", "straße"]
+    d = spark.createDataFrame([(w,) for w in words], "w string").select("w", N._formed(F.col("w")).alias("f"))
+    assert {r.w: r.f for r in d.collect()} == {w: N.form(w) for w in words}
