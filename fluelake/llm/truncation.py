@@ -187,7 +187,7 @@ def judged(df: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
     trimmed = F.btrim("s")
     counted = texts.select(F.explode(_segments(F.col("plain"))).alias("s")).select(trimmed.alias("segment")).where("segment <> ''")
     segments = cut(counted.groupBy("segment").agg(F.count("*").alias("c")))
-    last = cut(texts.select("h", F.btrim(F.try_element_at(_segments(F.col("plain")), F.lit(-1))).alias("segment"), F.right("plain", F.lit(1)).alias("last")))
+    last = cut(texts.select("h", F.btrim(F.try_element_at(_segments(F.substring_index("plain", "\n", -1)), F.lit(-1))).alias("segment"), F.right("plain", F.lit(1)).alias("last")))
     small = d.select("id", "source", "h", "chars", "bytes", "marked")
     lengths = small.join(last.select("h"), "h", "left_semi").groupBy("h").agg(F.min("chars").alias("chars"), F.min("bytes").alias("bytes"))
     limits = F.broadcast(cut(_limits(lengths)))  # lengths at which many texts pile up
