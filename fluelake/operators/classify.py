@@ -132,11 +132,29 @@ def canonical_spellings(df: DataFrame, column: str, synonyms: dict[str, str] | N
     return best.select("folded", F.coalesce(known, F.when(plain, title_case(shown)).otherwise(shown)).alias("canonical"))
 
 
+# What messages of exceeded token limits, and of errors worth another try, contain.
+TOKEN_LIMIT = ["maximum context length", "context length", "context window", "token limit", "too many tokens", "max_tokens must be at least 1", "finish_reason=length"]
+RETRYABLE = ["rate limit", "429", "502", "503", "server error", "overloaded", "timed out"]
+
+
 def error_class(text: Column) -> Column:
     """token_limit, retryable, parse or other, of an error message; null for none."""
     t = F.lower(text)
+    has = lambda *words: reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in words])
     return (
-        F.when(t.rlike(r"token limit|context length|maximum context|too many tokens"), "token_limit").when(t.rlike(r"rate limit|timeout|timed out|429|503|overloaded|temporarily"), "retryable")
+        F.when(has(*TOKEN_LIMIT) | has("context") & has("token") | has("max_tokens") & has("got -"), "token_limit").when(has(*RETRYABLE), "retryable")
         .when(t.rlike("json|decode|parse|empty response"), "parse").when(text.isNotNull(), "other")
     )
 
+
+
+def merge_codes(prior: DataFrame, new: DataFrame, file: str, code: str, order: str) -> DataFrame:
+    """(file, code, origin): outside results merged into earlier ones. A code is six digits, whatever stands between,
+    else empty. An earlier result counts only if it has a code; a new one without a code never replaces anything; of
+    several of a file the last with a code counts, else the first."""
+    digits = F.regexp_replace(F.coalesce(F.col(code).cast("string"), F.lit("")), "[^0-9]", "")
+    read = lambda d, name: d.where(F.col(file).isNotNull()).select(file, F.when(F.length(digits) == 6, digits).otherwise("").alias(code), F.col(order).alias("__o"), F.lit(name).alias("origin"))
+    both = read(prior, "prior").where(F.col(code) != "").unionByName(read(new, "new"))
+    rank = F.when(F.col(code) != "", F.struct((F.col("origin") == "new").alias("new"), "__o"))
+    best = both.groupBy(file).agg(F.max_by(F.struct(code, "origin"), rank).alias("b"))
+    return best.select(file, F.coalesce("b." + code, F.lit("")).alias(code), F.coalesce("b.origin", F.lit("new")).alias("origin"))

@@ -51,8 +51,11 @@ def keep_all_of_best(df: DataFrame, keys: list[Column], best: Column, group: Col
 def keep_ties(df: DataFrame, keys: list[Column], value: Column) -> DataFrame:
     """All rows of each key whose value is the key's greatest; keys without a value keep nothing."""
     top = input_name("__top", df.columns)
-    d = df.withColumn(top, F.max(value).over(Window.partitionBy(*keys)))
-    return d.where(value == F.col(top)).drop(top)
+    names = [input_name(f"__k{i}", df.columns) for i in range(len(keys))]
+    d = df.withColumns({n: k for n, k in zip(names, keys)} | {top: value})
+    best = d.groupBy(*names).agg(F.max(top).alias(top)).where(F.col(top).isNotNull())  # combined before the shuffle
+    on = [d[n].eqNullSafe(best[n]) for n in names] + [d[top] == best[top]]
+    return d.join(best, on, "left_semi").drop(*names, top)
 
 
 def tiered(df: DataFrame, keys: list[Column], tier: Column, *order: Column) -> DataFrame:

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fluelake.functions.blank import is_blank
 from fluelake.operators.dedup import last_by
 
+EMPTY = ["", "nan", "none", "null"]
+
 
 def replace_by_key(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Old rows of the keys that come in are dropped, the new rows appended; missing columns are null."""
@@ -18,11 +21,12 @@ def append_new(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.unionByName(new.join(old.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)
 
 
-def select_source(newer: DataFrame, older: DataFrame, key: str, tag: str, names: tuple[str, str], backfill: dict[str, str]) -> DataFrame:
-    """The newer run wins per key, the older one fills the absent keys; ``tag`` names the run. A null of a ``backfill``
-    column takes the older run's least value of the key, or the given text."""
-    known = older.groupBy(key).agg(*[F.min(c).alias(f"__{c}") for c in backfill])
-    a = newer.join(known, key, "left").withColumns({c: F.coalesce(c, f"__{c}", F.lit(text)) for c, text in backfill.items()}).drop(*[f"__{c}" for c in backfill])
+def select_source(newer: DataFrame, older: DataFrame, key: str, tag: str, names: tuple[str, str], backfill: dict[str, str], order: str) -> DataFrame:
+    """The newer run wins per key, the older one fills the absent keys; ``tag`` names the run. A blank of a ``backfill``
+    column takes the older run's first value of the key, in the given order, that is not blank, or the given text."""
+    known = older.groupBy(key).agg(*[F.min_by(c, F.when(~is_blank(F.col(c), EMPTY), F.col(order))).alias(f"__{c}") for c in backfill])
+    stated = lambda c: F.when(~is_blank(F.col(c), EMPTY), F.col(c))
+    a = newer.join(known, key, "left").withColumns({c: F.coalesce(stated(c), f"__{c}", F.lit(text)) for c, text in backfill.items()}).drop(*[f"__{c}" for c in backfill])
     b = older.join(newer.select(key).distinct(), key, "left_anti")
     return a.withColumn(tag, F.lit(names[0])).unionByName(b.withColumn(tag, F.lit(names[1])), allowMissingColumns=True)
 

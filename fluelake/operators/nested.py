@@ -85,9 +85,14 @@ def chunked(df: DataFrame, id_col: str, text: str, most: int = MAX_CHUNK, overla
     return d.mapInPandas(run, f"id {kind}, chunk int, start int, end int, text string")
 
 
-def halved_until(df: DataFrame, fits: Column, text: str = "text", least: int = 10_000, rounds: int = 3) -> DataFrame:
-    """Chunks whose ``fits`` is false are halved, and again, down to ``least`` characters."""
+def halved_until(df: DataFrame, fits: Column, text: str = "text", least: int = 10_000) -> DataFrame:
+    """Chunks whose ``fits`` is false are halved, and again, until they fit or are too short to give halves of ``least``
+    characters; the longest text says how often that can be."""
     out = None
+    longest = df.agg(F.max(F.length(text))).first()[0] or 0
+    rounds = 1
+    while longest >> rounds >= least:
+        rounds += 1
     todo = df.withColumn("__rounds", F.lit(0))
     for r in range(rounds):
         ok = todo.where(fits | (F.length(text) < 2 * least))

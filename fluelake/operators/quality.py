@@ -22,6 +22,7 @@ RULES = {
     "year_of_manufacture": {"pattern": r"^(19|20)[0-9]{2}$"},
 }
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# Forms and words of values that may be made up (the doubled alternative is as it must be).
 SUSPICIOUS = [r"^(test|example|sample|demo|placeholder)", r"^(lorem|ipsum)", r"^(xxx|xxx|zzz)", r"^(n/a|na|none|null|undefined)"]
 GENERIC = ["unknown", "not specified", "tbd", "to be determined"]
 
@@ -62,8 +63,19 @@ def accuracy(types: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, [F.when(t == "exact", 1.0).when(t == "partial", 0.5).otherwise(0.0) for t in types]) / len(types)
 
 
-def invention_risk(field: str, value: Column, text: Column) -> Column:
-    """0 to 1: not in the text .3, a suspicious form .4 each, a generic word .2, an unlikely value .3."""
+def stated_in(values: DataFrame, texts: DataFrame, key: str, value: str, text: str, block: int = 500) -> DataFrame:
+    """(key, value): the values, in lower case, that stand in any text of their key. Every text meets every value of its
+    key, the values in blocks of about ``block``, so that a hot key's values never meet in one task."""
+    v = values.select(key, F.lower(value).alias(value)).where(F.col(key).isNotNull() & F.col(value).isNotNull()).distinct()
+    parts = v.groupBy(key).agg(F.ceil(F.count("*") / block).alias("__parts"))
+    v = v.join(parts, key).groupBy(key, F.pmod(F.xxhash64(value), F.col("__parts")).alias("__part")).agg(F.collect_list(value).alias("__values"))
+    t = texts.where(F.col(text).isNotNull()).select(key, F.lower(text).alias("__text")).distinct()
+    found = t.join(v, key).select(key, F.explode(F.filter("__values", lambda x: F.contains(F.col("__text"), x))).alias(value))
+    return found.distinct()
+
+
+def invention_risk(field: str, value: Column, stated: Column) -> Column:
+    """0 to 1, ``stated`` being whether a text of the file has the value: not in the text .3, a suspicious form .4 each, a generic word .2, an unlikely value .3."""
     low = F.lower(value)
     unlikely = F.lit(False)
     if "date" in field:
@@ -73,7 +85,7 @@ def invention_risk(field: str, value: Column, text: Column) -> Column:
     elif "capacity" in field:
         n = F.when(value.rlike(NUMBER), F.trim(value).try_cast("double"))
         unlikely = F.coalesce((n <= 0) | (n > 10000), F.lit(False))
-    tenths = F.when(F.contains(F.lower(text), low), 0).otherwise(3)
+    tenths = F.when(stated, 0).otherwise(3)
     for p in SUSPICIOUS:
         tenths = tenths + F.when(low.rlike(p), 4).otherwise(0)
     tenths = tenths + F.when(low.isin(GENERIC), 2).otherwise(0) + F.when(unlikely, 3).otherwise(0)
@@ -95,3 +107,48 @@ def duplicated(df: DataFrame, keys: list[str]) -> DataFrame:
     """All rows of keys that more than one row has: keys are counted first, so that a hot key is one row there."""
     n = df.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n > 1").select(*keys)
     return df.join(n, keys, "left_semi")
+
+
+# Words for equipment, the edges of text sizes, and when a long text with few units is suspect.
+EQUIPMENT = r"(?i)\b(boiler|furnace|heater|oven|dryer|kiln|incinerator|turbine|engine|generator|melter|calciner|cracker|reformer)s?\b"
+SIZE_EDGES = [0, 25_000, 50_000, 100_000, 150_000, 250_000, 400_000, 700_000, 10**9]
+LEAST_CHARS, LEAST_MENTIONS, MOST_UNITS = 150_000, 40, 5
+
+
+def recall_by_size(sized: DataFrame, edges: list[int] = SIZE_EDGES) -> DataFrame:
+    """Units found by size of the text, of files (units, chars), in right-closed bins between the edges."""
+    d = sized.where(F.col("chars") > edges[0])
+    size = reduce(lambda w, i: w.when(F.col("chars") <= edges[i + 1], i + 1), range(1, len(edges) - 1), F.when(F.col("chars") <= edges[1], 1))
+    d = d.withColumns({"bin": size, "rate": F.col("units") / (F.col("chars") / 1000)})
+    return d.groupBy("bin").agg(F.count("*").alias("files"), F.percentile("units", F.lit(0.5)).alias("median_units"), F.round(F.avg("units"), 4).alias("mean_units"), F.percentile("units", F.lit(0.9)).alias("p90_units"), F.round(F.avg(F.when(F.col("units") <= 3, 1.0).otherwise(0.0)), 4).alias("few"), F.round(F.percentile("rate", F.lit(0.5)), 6).alias("median_rate"))
+
+
+def recall_suspects(sized: DataFrame, least_chars: int = LEAST_CHARS, least_mentions: int = LEAST_MENTIONS, most_units: int = MOST_UNITS) -> DataFrame:
+    """Long texts, of files (units, chars, mentions), that name much equipment and gave few units."""
+    d = sized.where((F.col("chars") >= least_chars) & (F.col("mentions") >= least_mentions) & (F.col("units") <= most_units))
+    return d.withColumn("per_unit", F.round(F.col("mentions") / F.greatest("units", F.lit(1)), 4))
+
+
+# The fields that must agree, and the least share of unit fields.
+KEY_FIELDS = [
+    "Facility Name", "Facility Address", "Facility City", "Facility State Abbreviation", "Facility Zip Code", "Permit Number", "Permit Type", "Issuance Date",
+    "Expiration Date", "Regulatory Authority", "Primary Applicable Regulations (e.g., Title V, PSD, NESHAP Subpart)",
+]
+LEAST_AGREEMENT = 0.7
+
+
+def validation_decision(summary: Column, ratio: Column, succeeded: Column, failed: Column, fields: list[str] = KEY_FIELDS, least: float = LEAST_AGREEMENT) -> tuple[Column, Column]:
+    """(status, reason): the first test that fails asks for review: fewer than two models succeeded, two or more failed,
+    a key field needs review, too few unit fields agree (a null ratio is full agreement, as of no shared unit)."""
+    tests = [(succeeded < 2, F.lit("Fewer than two models succeeded")), (failed >= 2, F.lit("Two or more models failed"))]
+    tests += [(F.coalesce(F.try_element_at(summary, F.lit(f))["needs_review"], F.lit(False)), F.lit(f"General field '{f}' needs review")) for f in fields]
+    shown = F.round(ratio.cast("decimal(12,6)"), 2).cast("string")
+    tests.append((F.coalesce(ratio < least, F.lit(False)), F.concat(F.lit("Unit field agreement ratio "), shown, F.lit(f" < {least}"))))
+    reason = reduce(lambda w, t: w.when(*t), tests[1:], F.when(*tests[0]))
+    return F.when(reason.isNull(), "SUCCESS").otherwise("REVIEW_REQUIRED"), reason
+
+
+def documents_with(df: DataFrame, key: str, file: str, test: Column) -> DataFrame:
+    """``df`` with ``documents``, the number of distinct files of its key in which a row passes the test, 0 for none."""
+    n = df.where(test).select(key, file).distinct().groupBy(key).agg(F.count("*").alias("documents"))
+    return df.join(n, key, "left").na.fill(0, ["documents"])

@@ -79,6 +79,14 @@ def error_classes(spark, sf_dir):
     return d.groupBy(C.error_class(F.col("error_text")).alias("kind")).agg(F.count("*").alias("entries"))
 
 
+def merge_codes(spark, sf_dir):
+    """Run b's stated codes, as outside results, merged into run a's resolved ones."""
+    d = table(spark, sf_dir, P)
+    a = d.where("source_run = 'run_a'").select("filename", F.col("naics_resolved").alias("code"), "row_id")
+    b = d.where("source_run = 'run_b'").select("filename", F.col("naics_code").alias("code"), "row_id")
+    return C.merge_codes(a, b, "filename", "code", "row_id")
+
+
 def _documents(spark, sf_dir):
     d = table(spark, sf_dir, P).where("status in ('Success', 'Success (No Units Found)')")
     return nested.rebuilt(d, "filename", GENERAL, UNIT, "row_id")
@@ -124,7 +132,7 @@ def consensus_field(spark, sf_dir):
     return g.select("filename", "field", F.col("b.value").alias("chosen"), "complete", agreeing.alias("agreeing"), ((F.col("values") > 1) | ((F.col("complete") >= 2) & (agreeing < 2))).alias("needs_review"))
 
 
-QUERIES = {f.__name__: f for f in (rule_classify, manufacturing_split, naics_cascade, code_precedence, worklist, canonical_casing, primary_bucket, subsector_options, error_classes, rebuild_units, flatten_units, parse_fenced_json, prompt_sizes, chunk_text, consensus_field)}
+QUERIES = {f.__name__: f for f in (rule_classify, manufacturing_split, naics_cascade, code_precedence, worklist, canonical_casing, primary_bucket, subsector_options, error_classes, merge_codes, rebuild_units, flatten_units, parse_fenced_json, prompt_sizes, chunk_text, consensus_field)}
 
 _MADE = [r for r in C.RULES if r[1][:2] in ("31", "32", "33")]
 _RULES = lambda c: "(CASE " + " ".join(f"WHEN regexp_matches({c}, {S.quote(p)}) THEN '{k}'" for p, k in [*_MADE, *[r for r in C.RULES if r not in _MADE]]) + " END)"
@@ -168,8 +176,12 @@ SQL = {
             WHEN regexp_matches({_T}, {S.quote(SUBSECTOR_WORDS['is_wastewater'])}, 'i') THEN 'Wastewater / sewage' ELSE coalesce(CASE WHEN length(naics_resolved) >= 3 THEN {_LABEL('naics_resolved[1:3]')} END, 'Unclassified') END AS bucket,
             count(*) AS units, count(DISTINCT filename) AS files FROM {P} GROUP BY 1""",
     "subsector_options": f"SELECT naics_resolved[1:3] AS option, count(*) AS rows FROM {P} WHERE naics_resolved IS NOT NULL GROUP BY 1 HAVING count(*) >= 100 UNION ALL SELECT 'ALL', count(*) FROM {P}",
+    "merge_codes": f"""
+        WITH a AS (SELECT filename, regexp_replace(naics_resolved, '[^0-9]', '', 'g') AS c, row_id FROM {P} WHERE source_run = 'run_a'), b AS (SELECT filename, regexp_replace(naics_code, '[^0-9]', '', 'g') AS c, row_id FROM {P} WHERE source_run = 'run_b'),
+        u AS (SELECT filename, c, row_id, 'prior' AS origin FROM a WHERE length(c) = 6 UNION ALL SELECT filename, CASE WHEN length(c) = 6 THEN c ELSE '' END, row_id, 'new' FROM b)
+        SELECT filename, c AS code, origin FROM u QUALIFY row_number() OVER (PARTITION BY filename ORDER BY c <> '' DESC, origin = 'new' DESC, row_id DESC) = 1""",
     "error_classes": """
-        SELECT CASE WHEN regexp_matches(lower(error_text), 'token limit|context length|maximum context|too many tokens') THEN 'token_limit' WHEN regexp_matches(lower(error_text), 'rate limit|timeout|timed out|429|503|overloaded|temporarily') THEN 'retryable'
+        SELECT CASE WHEN regexp_matches(lower(error_text), 'context length|context window|token limit|too many tokens|max_tokens must be at least 1|finish_reason=length|context.*token|token.*context|max_tokens.*got -|got -.*max_tokens', 's') THEN 'token_limit' WHEN regexp_matches(lower(error_text), 'rate limit|429|502|503|server error|overloaded|timed out') THEN 'retryable'
             WHEN regexp_matches(lower(error_text), 'json|decode|parse|empty response') THEN 'parse' WHEN error_text IS NOT NULL THEN 'other' END AS kind, count(*) AS entries FROM processing_log WHERE status = 'failed' GROUP BY 1""",
     "rebuild_units": f"SELECT filename, arg_min_null(facility_name, row_id) AS facility_name, count(*) FILTER (WHERE {_SOME}) AS units, coalesce(string_agg(coalesce(unit_id, '?'), '|' ORDER BY row_id) FILTER (WHERE {_SOME}), '') AS ids FROM {_DOC} GROUP BY 1",
     "flatten_units": _FLAT,

@@ -155,8 +155,8 @@ def append_new_only(spark, sf_dir):
 
 def merge_source_selection(spark, sf_dir):
     a, b = _runs(spark, sf_dir, "run_d", "run_a")
-    c = ["row_id", "filename", "owner_operator_name"]
-    return merge.select_source(a.select(c), b.select(c), "filename", "run", ("newer", "older"), {"owner_operator_name": "unknown (older run)"})
+    c = ["row_id", "filename", "model_used"]
+    return merge.select_source(a.select(c), b.select(c), "filename", "run", ("newer", "older"), {"model_used": "unknown (newer run)"}, "row_id")
 
 
 def merge_carry_over(spark, sf_dir):
@@ -263,8 +263,9 @@ def _more_sql():
         "merge_replace": f"SELECT row_id, filename, unit_id, NULL AS fuel_type FROM {run('run_a')} WHERE filename NOT IN (SELECT filename FROM {run('run_d')}) UNION ALL SELECT row_id, filename, NULL, fuel_type FROM {run('run_d')}",
         "append_new_only": f"SELECT row_id, filename FROM {run('run_d')} UNION ALL SELECT row_id, filename FROM {run('run_a')} WHERE filename NOT IN (SELECT filename FROM {run('run_d')})",
         "merge_source_selection": f"""
-            SELECT row_id, n.filename, coalesce(owner_operator_name, o, 'unknown (older run)') AS owner_operator_name, 'newer' AS run FROM {run('run_d')} n LEFT JOIN (SELECT filename, min(owner_operator_name) AS o FROM {run('run_a')} GROUP BY 1) k ON n.filename = k.filename
-            UNION ALL SELECT row_id, filename, owner_operator_name, 'older' FROM {run('run_a')} WHERE filename NOT IN (SELECT filename FROM {run('run_d')})""",
+            SELECT row_id, n.filename, coalesce(CASE WHEN NOT {S.blank('model_used', ['', 'nan', 'none', 'null'])} THEN model_used END, o, 'unknown (newer run)') AS model_used, 'newer' AS run
+            FROM {run('run_d')} n LEFT JOIN (SELECT filename, arg_min(model_used, row_id) FILTER (WHERE NOT {S.blank('model_used', ['', 'nan', 'none', 'null'])}) AS o FROM {run('run_a')} GROUP BY 1) k ON n.filename = k.filename
+            UNION ALL SELECT row_id, filename, model_used, 'older' FROM {run('run_a')} WHERE filename NOT IN (SELECT filename FROM {run('run_d')})""",
         "merge_carry_over": f"""
             WITH k AS (SELECT filename, {', '.join(f'arg_min({c}, row_id) FILTER (WHERE {c} IS NOT NULL) AS {c}' for c in ('naics_resolved', 'naics_source', 'source_sheet'))} FROM {run('run_a')} GROUP BY 1)
             SELECT row_id, filename, naics_resolved, naics_source, source_sheet FROM {run('run_a')} WHERE filename NOT IN (SELECT filename FROM {run('run_b')})

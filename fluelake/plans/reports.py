@@ -11,13 +11,13 @@ from fluelake.functions import text as T
 from fluelake.operators import quality, stats
 from fluelake.operators.sampling import quantile_bins
 from fluelake.plans import sqltools as S
-from fluelake.plans.scalars import PLACEHOLDERS
+from fluelake.plans.scalars import EQUIPMENT, PLACEHOLDERS, SENTINELS
 from fluelake.runtime import table
 
 P, DOC, VAL = "permit_data_extracted", "documents", "validation_run"
 STATES = "AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY PR VI GU AS MP".split()
 FIELDS = ["facility_name", "facility_city", "facility_zip_code", "unit_id", "unit_make", "capacity_value", "capacity_unit", "fuel_type", "pollutants", "emission_limits", "opacity_limit"]
-EQUIPMENT = r"(?i)\b(boiler|heater|generator|engine|turbine|furnace|kiln|dryer|oven|tank|scrubber|baghouse|crusher|conveyor|cyclone|oxidizer)s?\b"
+#: The tables' texts are shorter than usual ones, so edges and thresholds are scaled down.
 SIZE_BINS = [0, 1_000, 2_000, 4_000, 8_000, 12_000, 20_000, 30_000, 10**9]
 CATEGORIES = [
     ("location", ["address", "city", "zip", "county", "state"]), ("dates", ["date", "year"]), ("permit", ["permit", "regulatory", "authority"]), ("facility", ["facility", "owner", "industry"]),
@@ -73,7 +73,7 @@ def top_pairs(spark, sf_dir):
     """The 15 commonest pairs of make and model, placeholders left out after counting."""
     d = _p(spark, sf_dir).where("unit_make is not null and unit_model is not null").groupBy("unit_make", "unit_model").agg(F.count("*").alias("rows"))
     make, model = T.strip(F.col("unit_make")), T.strip(F.col("unit_model"))
-    d = d.where(~F.lower(make).isin(PLACEHOLDERS) & ~F.lower(model).isin(PLACEHOLDERS))
+    d = d.where(~F.lower(make).isin("", *PLACEHOLDERS) & ~F.lower(model).isin("", *PLACEHOLDERS))
     return d.select(F.concat_ws(" ", make, model).alias("value"), "rows").orderBy(F.desc("rows"), "value").limit(15)
 
 
@@ -122,22 +122,18 @@ def duplicate_groups(spark, sf_dir):
 
 def _sized(spark, sf_dir):
     units = _p(spark, sf_dir).where("status = 'Success'").groupBy("filename").agg(F.count("*").alias("units"))
-    texts = table(spark, sf_dir, "extracted_text").where("source is not null").groupBy("filename").agg(F.max(F.length("source")).cast("bigint").alias("chars"), F.max(F.regexp_count("source", F.lit(EQUIPMENT))).cast("bigint").alias("mentions"))
+    texts = table(spark, sf_dir, "extracted_text").where("source is not null").groupBy("filename").agg(F.max(F.length("source")).cast("bigint").alias("chars"), F.max(F.regexp_count("source", F.lit(quality.EQUIPMENT))).cast("bigint").alias("mentions"))
     return units.join(texts, "filename")
 
 
 def recall_by_size(spark, sf_dir):
     """Units found by size of the text in eight right-closed bins."""
-    d = _sized(spark, sf_dir).where("chars > 0")
-    size = reduce(lambda w, i: w.when(F.col("chars") <= SIZE_BINS[i + 1], i + 1), range(1, 8), F.when(F.col("chars") <= SIZE_BINS[1], 1))
-    d = d.withColumns({"bin": size, "rate": F.col("units") / (F.col("chars") / 1000)})
-    return d.groupBy("bin").agg(F.count("*").alias("files"), F.percentile("units", F.lit(0.5)).alias("median_units"), F.round(F.avg("units"), 4).alias("mean_units"), F.percentile("units", F.lit(0.9)).alias("p90_units"), F.round(F.avg(F.when(F.col("units") <= 3, 1.0).otherwise(0.0)), 4).alias("few"), F.round(F.percentile("rate", F.lit(0.5)), 6).alias("median_rate"))
+    return quality.recall_by_size(_sized(spark, sf_dir), SIZE_BINS)
 
 
 def recall_suspects(spark, sf_dir):
     """Long texts that name much equipment and gave few units."""
-    d = _sized(spark, sf_dir).where("chars >= 4000 and mentions >= 20 and units <= 8")
-    return d.select("filename", "chars", "units", "mentions", F.round(F.col("mentions") / F.greatest("units", F.lit(1)), 4).alias("per_unit"))
+    return quality.recall_suspects(_sized(spark, sf_dir), least_chars=4_000, least_mentions=10, most_units=8).select("filename", "chars", "units", "mentions", "per_unit")
 
 
 def rule_validate(spark, sf_dir):
@@ -158,9 +154,32 @@ def invention_risk(spark, sf_dir):
     """Risk that a file's stated fields were made up, against its text."""
     fields = ["facility_name", "permit_number", "issuance_date", "year_of_manufacture", "capacity_value"]
     rows = _p(spark, sf_dir).where("status = 'Success'").select("row_id", "filename", *fields)
-    texts = table(spark, sf_dir, "extracted_text").where("source is not null").groupBy("filename").agg(F.min_by("source", "text_id").alias("text"))
-    j = rows.join(texts, "filename")
-    return j.select("row_id", *[quality.invention_risk(f, F.col(f), F.col("text")).alias(f) for f in fields])
+    texts = table(spark, sf_dir, "extracted_text").where("source is not null").select("filename", "source")
+    cells = rows.select("row_id", "filename", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lower(f).alias("v")) for f in fields])).alias("c")).select("row_id", "filename", "c.*")
+    found = quality.stated_in(cells, texts, "filename", "v", "source")
+    hits = cells.join(found, ["filename", "v"]).groupBy("row_id").agg(F.collect_set("field").alias("stated"))  # at most one entry a field
+    j = rows.join(texts.select("filename").distinct(), "filename", "left_semi").join(hits, "row_id", "left")
+    return j.select("row_id", *[quality.invention_risk(f, F.col(f), F.coalesce(F.array_contains("stated", f), F.lit(False))).alias(f) for f in fields])
+
+
+def validation_decision(spark, sf_dir):
+    """Status and reason of each answer sheet; a model of the panel that gave no field has failed."""
+    d = table(spark, sf_dir, VAL).select("record_id", "field_summary", "unit_agreement_ratio")
+    models = F.array_distinct(F.flatten(F.transform(F.map_values("field_summary"), lambda s: F.coalesce(s["complete_models"], F.array().cast("array<string>")))))
+    d = d.withColumn("models", F.coalesce(models, F.array().cast("array<string>")))
+    panel = d.select(F.explode("models").alias("m")).agg(F.countDistinct("m").alias("panel"))  # one row
+    d = d.join(F.broadcast(panel), F.lit(True))
+    status, reason = quality.validation_decision(F.col("field_summary"), F.col("unit_agreement_ratio"), F.size("models"), F.col("panel") - F.size("models"))
+    return d.select("record_id", status.alias("decision"), reason.alias("why"))
+
+
+def equipment_documents(spark, sf_dir):
+    """Each row with the number of documents of its facility that state any equipment."""
+    c = ["facility_name", "facility_address", "facility_city", "facility_state_abbreviation", "facility_zip_code"]
+    whole = T.joined_key(*[F.col(x) for x in c], sep="|", upper=False)
+    has = reduce(lambda a, b: a | b, [~F.coalesce(F.lower(T.strip(F.col(x))).isin(SENTINELS), F.lit(True)) for x in EQUIPMENT])
+    d = _p(spark, sf_dir).select("row_id", "filename", F.when(whole == "||||", F.concat(F.lit("unknown::"), "filename")).otherwise(whole).alias("facility"), has.alias("has"))
+    return quality.documents_with(d, "facility", "filename", F.col("has")).select("row_id", "documents")
 
 
 def model_comparison(spark, sf_dir):
@@ -286,15 +305,15 @@ def weighted_categories(spark, sf_dir):
     return d.withColumn("percent", F.round(100 * F.col("answers") / F.sum("answers").over(Window.partitionBy(F.lit(1))), 4))
 
 
-QUERIES = {f.__name__: f for f in (state_rollup, status_counts, kpis, site_table, box_stats, top_values, top_pairs, top_with_other, vintage_median, missingness, state_completeness, qc_report, duplicate_groups, recall_by_size, recall_suspects, rule_validate, extraction_accuracy, invention_risk, model_comparison, composite_score, pooled_validation, flip_stats, ratio_summary, coverage_table, tier_summary, representation_ratio, weighted_coverage, coverage_quartiles, spearman, crosstab_norm, describe_lengths, multi_value_split, growth_stats, quantity_sum, weighted_categories)}
+QUERIES = {f.__name__: f for f in (state_rollup, status_counts, kpis, site_table, box_stats, top_values, top_pairs, top_with_other, vintage_median, missingness, state_completeness, qc_report, duplicate_groups, recall_by_size, recall_suspects, rule_validate, extraction_accuracy, invention_risk, validation_decision, equipment_documents, model_comparison, composite_score, pooled_validation, flip_stats, ratio_summary, coverage_table, tier_summary, representation_ratio, weighted_coverage, coverage_quartiles, spearman, crosstab_norm, describe_lengths, multi_value_split, growth_stats, quantity_sum, weighted_categories)}
 
 
 def _sql():
     from fluelake.plans.classes import _FOLD
-    from fluelake.plans.scalars import _SITE, _YEAR
+    from fluelake.plans.scalars import _CELL, _KEY, _SITE, _YEAR
 
     has = lambda c: f"coalesce({S.strip(c)} <> '', false)"
-    words = ", ".join(map(S.quote, PLACEHOLDERS))
+    words = "'', 'unknown', 'n/a', 'na', 'none', 'not specified', 'not available', 'not listed', 'unspecified', 'various', '-', '--', 'unk', 'tbd'"
     one_row = f"upper({S.strip('facility_state_abbreviation')})"
     n = f"replace({S.strip('capacity_value')}, ',', '')"
     from fluelake.functions.text import CAPACITY_UNITS
@@ -312,7 +331,7 @@ def _sql():
         "one_letter_ids": f"count(*) FILTER (WHERE {has('unit_id')} AND length({S.strip('unit_id')}) <= 1)", "error_cells": " + ".join(f"count(*) FILTER (WHERE upper({S.strip(f)}) = 'ERROR')" for f in FIELDS),
     }
     sized = f"""u AS (SELECT filename, count(*) AS units FROM {P} WHERE status = 'Success' GROUP BY 1),
-        t AS (SELECT filename, CAST(max(length(source)) AS BIGINT) AS chars, CAST(max(len(regexp_extract_all(source, {S.quote(EQUIPMENT)}))) AS BIGINT) AS mentions FROM extracted_text WHERE source IS NOT NULL GROUP BY 1),
+        t AS (SELECT filename, CAST(max(length(source)) AS BIGINT) AS chars, CAST(max(len(regexp_extract_all(source, {S.quote(r"(?i)\b(boiler|furnace|heater|oven|dryer|kiln|incinerator|turbine|engine|generator|melter|calciner|cracker|reformer)s?\b")}))) AS BIGINT) AS mentions FROM extracted_text WHERE source IS NOT NULL GROUP BY 1),
         s AS (SELECT u.filename, units, chars, mentions FROM u JOIN t ON u.filename = t.filename)"""
     rules = []
     for f, r in quality.RULES.items():
@@ -337,7 +356,7 @@ def _sql():
         elif "capacity" in f:
             x = f"CASE WHEN regexp_matches({f}, {S.quote(quality.NUMBER)}) THEN try_cast(trim({f}) AS DOUBLE) END"
             un = f"coalesce(({x}) <= 0 OR ({x}) > 10000, false)"
-        parts = [f"CASE WHEN contains(lower(text), {low}) THEN 0 ELSE 3 END", *[f"CASE WHEN regexp_matches({low}, {S.quote(p)}) THEN 4 ELSE 0 END" for p in quality.SUSPICIOUS], f"CASE WHEN {low} IN ({', '.join(map(S.quote, quality.GENERIC))}) THEN 2 ELSE 0 END", f"CASE WHEN {un} THEN 3 ELSE 0 END"]
+        parts = [f"CASE WHEN EXISTS (SELECT 1 FROM hit WHERE hit.filename = p.filename AND hit.v = {low}) THEN 0 ELSE 3 END", *[f"CASE WHEN regexp_matches({low}, {S.quote(p)}) THEN 4 ELSE 0 END" for p in quality.SUSPICIOUS], f"CASE WHEN {low} IN ({', '.join(map(S.quote, quality.GENERIC))}) THEN 2 ELSE 0 END", f"CASE WHEN {un} THEN 3 ELSE 0 END"]
         return f"CASE WHEN {S.strip(f)} <> '' THEN least({' + '.join(parts)}, 10) / 10 END AS {f}"
 
     risky = ["facility_name", "permit_number", "issuance_date", "year_of_manufacture", "capacity_value"]
@@ -379,12 +398,27 @@ def _sql():
         "recall_by_size": f"""
             WITH {sized}, b AS (SELECT *, (SELECT count(*) FROM (VALUES {', '.join(f'({x})' for x in SIZE_BINS[1:-1])}) v(x) WHERE chars > x) + 1 AS bin, units / (chars / 1000) AS rate FROM s WHERE chars > 0)
             SELECT CAST(bin AS INTEGER) AS bin, count(*) AS files, quantile_cont(units, 0.5) AS median_units, round(avg(units), 4) AS mean_units, quantile_cont(units, 0.9) AS p90_units, round(avg((units <= 3)::INT), 4) AS few, round(quantile_cont(rate, 0.5), 6) AS median_rate FROM b GROUP BY 1""",
-        "recall_suspects": f"WITH {sized} SELECT filename, chars, units, mentions, round(mentions / greatest(units, 1), 4) AS per_unit FROM s WHERE chars >= 4000 AND mentions >= 20 AND units <= 8",
+        "recall_suspects": f"WITH {sized} SELECT filename, chars, units, mentions, round(mentions / greatest(units, 1), 4) AS per_unit FROM s WHERE chars >= 4000 AND mentions >= 10 AND units <= 8",
         "rule_validate": f"SELECT row_id, concat_ws(',', {', '.join(rules)}) AS broken FROM {P}",
         "extraction_accuracy": f"""
             WITH k AS (SELECT a.filename, a.unit_id, {', '.join(f'{kind(f)} AS k{i}' for i, f in enumerate(acc))} FROM {side('run_a')} a JOIN {side('run_b')} b ON a.filename = b.filename AND a.unit_id = b.unit_id)
             SELECT filename, unit_id, concat_ws(',', k0, k1, k2, k3, k4) AS kinds, round(({' + '.join(f"CASE k{i} WHEN 'exact' THEN 1.0 WHEN 'partial' THEN 0.5 ELSE 0.0 END::DOUBLE" for i in range(5))}) / 5, 6) AS score FROM k""",
-        "invention_risk": f"WITH t AS (SELECT filename, arg_min(source, text_id) AS text FROM extracted_text WHERE source IS NOT NULL GROUP BY 1) SELECT row_id, {', '.join(risk(f) for f in risky)} FROM {P} p JOIN t ON p.filename = t.filename WHERE status = 'Success'",
+        "invention_risk": f"""
+            WITH t AS (SELECT DISTINCT filename, lower(source) AS text FROM extracted_text WHERE source IS NOT NULL), v AS ({' UNION '.join(f"SELECT filename, lower({f}) AS v FROM {P} WHERE status = 'Success'" for f in risky)}),
+            hit AS (SELECT DISTINCT v.filename, v.v FROM v JOIN t ON v.filename = t.filename AND contains(t.text, v.v))
+            SELECT row_id, {', '.join(risk(f) for f in risky)} FROM {P} p WHERE status = 'Success' AND filename IN (SELECT filename FROM t)""",
+        "validation_decision": f"""
+            WITH m AS (SELECT record_id, len(list_distinct(flatten(list_transform(map_values(field_summary), lambda s: coalesce(s.complete_models, []))))) AS k FROM {VAL}),
+            panel AS (SELECT count(DISTINCT x) AS n FROM (SELECT unnest(flatten(list_transform(map_values(field_summary), lambda s: s.complete_models))) AS x FROM {VAL})),
+            d AS (SELECT record_id, CASE WHEN coalesce(k, 0) < 2 THEN 'Fewer than two models succeeded' WHEN n - coalesce(k, 0) >= 2 THEN 'Two or more models failed'
+                {' '.join(f"WHEN coalesce(field_summary['{f}'].needs_review, false) THEN 'General field ''{f}'' needs review'" for f in ('Facility Name', 'Facility Address', 'Facility City', 'Facility State Abbreviation', 'Facility Zip Code', 'Permit Number', 'Permit Type', 'Issuance Date', 'Expiration Date', 'Regulatory Authority', 'Primary Applicable Regulations (e.g., Title V, PSD, NESHAP Subpart)'))}
+                WHEN unit_agreement_ratio < 0.7 THEN 'Unit field agreement ratio ' || CAST(round(CAST(unit_agreement_ratio AS DECIMAL(12, 6)), 2) AS VARCHAR) || ' < 0.7' END AS why
+                FROM {VAL} JOIN m USING (record_id), panel)
+            SELECT record_id, CASE WHEN why IS NULL THEN 'SUCCESS' ELSE 'REVIEW_REQUIRED' END AS decision, why FROM d""",
+        "equipment_documents": f"""
+            WITH d AS (SELECT row_id, filename, CASE WHEN {_KEY} = '||||' THEN 'unknown::' || filename ELSE {_KEY} END AS facility, {' + '.join(_CELL)} > 0 AS has FROM {P}),
+            n AS (SELECT facility, count(DISTINCT filename) AS documents FROM d WHERE has GROUP BY 1)
+            SELECT row_id, coalesce(documents, 0) AS documents FROM d LEFT JOIN n ON d.facility = n.facility""",
         "model_comparison": f"""
             WITH a AS (SELECT model_used, count(*) AS rows, round(avg(({' + '.join(f'{has(f)}::INT' for f in FIELDS)}) / {len(FIELDS)}), 6) AS completeness FROM {P} WHERE status = 'Success' GROUP BY 1),
             v AS (SELECT unnest(s.complete_models) AS m, s.agreeing_models AS g FROM {entries}), b AS (SELECT m, count(*) AS answers, round(avg(list_contains(g, m)::INT), 6) AS agreement FROM v GROUP BY 1)

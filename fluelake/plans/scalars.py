@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from fluelake.functions import text as T
-from fluelake.functions.blank import is_blank
 from fluelake.plans import sqltools as S
 from fluelake.runtime import table
 
@@ -38,7 +37,8 @@ DATA_CENTER_WORDS = ["data center", "datacenter", "data centre", "server farm",
 TITLE_V = [r"\btitle\s*v\b", r"\btitle\s*5\b", r"\bpart\s*70\b", r"\b70\.[0-9]+\b"]
 PERMIT = [r"\bpermit\b", r"\boperating permit\b", r"\btitle v operating permit\b", r"\bpermit number\b"]
 NEGATIVE = [r"\bpublic notice\b", r"\bnotice of\b", r"\bhearing\b", r"\bfact sheet\b", r"\bapplication\b", r"\brequest for\b", r"\bdraft\b", r"\bcomment period\b"]
-PLACEHOLDERS = ["", "-", "--", "n/a", "na", "nan", "none", "null", "unknown", "not specified", "not provided", "information not provided", "tbd"]
+# Words that stand for no make or model, cells that say nothing, and words of names that are no search terms.
+PLACEHOLDERS = ["unknown", "n/a", "na", "none", "not specified", "not available", "not listed", "unspecified", "various", "-", "--", "unk", "tbd"]
 EQUIPMENT = [
     "unit_id", "unit_description", "unit_quantity", "unit_make", "unit_model", "year_of_manufacture", "unit_type", "pollutants", "emission_limits",
     "opacity_limit", "throughput_production_limit", "control_devices", "capacity_value", "capacity_unit", "fuel_type", "rated_efficiency",
@@ -137,7 +137,7 @@ def row_flags(spark, sf_dir):
     cells = [F.when(F.coalesce(F.lower(T.strip(c(x))).isin(SENTINELS), F.lit(True)), 0).otherwise(1) for x in EQUIPMENT]
     return _rows(spark, sf_dir).select(
         "row_id", *[text.rlike(f"(?i){p}").alias(n) for n, p in SUBSECTOR_WORDS.items()], year.alias("year"), (F.lit(2026) - year).alias("age"),
-        is_blank(c("unit_make"), PLACEHOLDERS).alias("make_is_placeholder"), (reduce(lambda a, b: a + b, cells) > 0).alias("has_equipment"), reduce(lambda a, b: a + b, cells).cast("bigint").alias("filled"),
+        F.coalesce(F.lower(T.strip(c("unit_make"))).isin(PLACEHOLDERS), F.lit(False)).alias("make_is_placeholder"), (reduce(lambda a, b: a + b, cells) > 0).alias("has_equipment"), reduce(lambda a, b: a + b, cells).cast("bigint").alias("filled"),
         reduce(lambda a, b: a + b, [F.when(c(x).isNotNull(), 1).otherwise(0) for x in EQUIPMENT]).cast("bigint").alias("non_null"),
     )
 
@@ -244,7 +244,7 @@ SQL = {
     "row_flags": f"""
         WITH d AS (SELECT *, coalesce(industry_description, '') || ' ' || coalesce(facility_name, '') AS t, try_cast({_YEAR} AS INTEGER) AS y0 FROM {P})
         SELECT row_id, {', '.join(f"regexp_matches(t, {S.quote(p)}, 'i') AS {n}" for n, p in SUBSECTOR_WORDS.items())}, CASE WHEN y0 <= 2026 THEN y0 END AS year, 2026 - CASE WHEN y0 <= 2026 THEN y0 END AS age,
-            {S.blank('unit_make', PLACEHOLDERS)} AS make_is_placeholder, {' + '.join(_CELL)} > 0 AS has_equipment, CAST({' + '.join(_CELL)} AS BIGINT) AS filled,
+            coalesce(lower({S.strip('unit_make')}) IN ('unknown', 'n/a', 'na', 'none', 'not specified', 'not available', 'not listed', 'unspecified', 'various', '-', '--', 'unk', 'tbd'), false) AS make_is_placeholder, {' + '.join(_CELL)} > 0 AS has_equipment, CAST({' + '.join(_CELL)} AS BIGINT) AS filled,
             CAST({' + '.join(f'(CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END)' for c in EQUIPMENT)} AS BIGINT) AS non_null FROM d""",
     "row_categories": f"""
         SELECT row_id, CASE WHEN {_FUEL2} NOT IN ('', 'na', 'n/a', 'none', 'unknown') THEN {S.keyword_case(_FUEL2, FUEL_RULES, 'Other / Misc')} END AS fuel_category,

@@ -20,6 +20,7 @@ def session(app: str = "fluelake", master: str | None = None, **conf: str) -> Sp
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     } | conf
@@ -32,20 +33,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session, or, where it is unset, as in
-    tests, a new temporary folder."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session, or the context's. Where neither is set a
+    local master gets a new temporary folder, as in tests; a cluster gets an error, as its executors share no such one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if folder is None:
         folder = context._jsc.sc().getCheckpointDir()
         folder = folder.get() if folder.isDefined() else None
     if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="fluelake-checkpoint-")
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(folder)
     return folder
 
 
+def own_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that holds what this application stores."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/fluelake-{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes what this application stored in the shared folder; results not yet written are lost with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and written to the shared folder; a lost executor costs nothing that was done."""
     checkpoint_dir(df.sparkSession)
@@ -55,7 +69,7 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a compressed table in the shared folder and read from there; for wide rows such as
     texts, which a checkpoint would keep uncompressed."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{own_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -200,3 +200,59 @@ def test_llm_is_imported_by_nothing_else():
 
     root = Path(__file__).resolve().parent.parent / "fluelake"
     assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and "fluelake.llm" in p.read_text()]
+
+
+def test_halving_goes_on_until_all_fit(spark):
+    d = spark.createDataFrame([("x" * 6400,), ("y" * 10,)], "text string")
+    got = nested.halved_until(d, F.length("text") <= 100, least=50).collect()
+    assert sorted(len(r.text) for r in got) == [10] + [100] * 64 and max(r.halvings for r in got) == 6
+
+
+def test_error_classes_of_messages(spark):
+    cases = {
+        "Prompt exceeds the context window": "token_limit", "max_tokens must be at least 1": "token_limit", "finish_reason=length": "token_limit", "max_tokens: got -5": "token_limit", "token beyond context": "token_limit",
+        "HTTP 502": "retryable", "internal server error": "retryable", "request timed out": "retryable", "timeout": "other", "temporarily away": "other", "invalid JSON": "parse", None: None,
+    }
+    d = spark.createDataFrame([(m,) for m in cases], "m string").select("m", classify.error_class(F.col("m")).alias("k"))
+    assert {r.m: r.k for r in d.collect()} == cases
+
+
+def test_backfill_takes_the_first_stated(spark):
+    old = spark.createDataFrame([(1, "f", " "), (2, "f", "zeta"), (3, "f", "alpha"), (4, "h", "x")], "i long, f string, m string")
+    new = spark.createDataFrame([(5, "f", "NaN"), (6, "f", "own"), (7, "g", None)], "i long, f string, m string")
+    got = merge.select_source(new, old, "f", "run", ("new", "old"), {"m": "unknown"}, "i").collect()
+    assert sorted((r.i, r.m, r.run) for r in got) == [(4, "x", "old"), (5, "zeta", "new"), (6, "own", "new"), (7, "unknown", "new")]
+
+
+def test_values_are_sought_in_all_texts(spark):
+    values = spark.createDataFrame([("f", f"Name {i}") for i in range(1200)] + [("g", "Name 1"), ("f", None), (None, "x")], "k string, v string")
+    texts = spark.createDataFrame([("f", f"here NAME {i}.") for i in (3, 700, 700, 1199)] + [("g", "nothing"), ("f", None), ("h", "Name 1")], "k string, t string")
+    got = {(r.k, r.v) for r in quality.stated_in(values, texts, "k", "v", "t").collect()}
+    assert got == {("f", f"name {i}") for i in (3, 7, 70, 700, 1, 11, 119, 1199)}
+
+
+def test_decisions_with_reasons(spark):
+    form = "i int, s map<string, struct<needs_review:boolean>>, ratio double, ok int, failed int"
+    rows = [(1, {}, 0.9, 1, 0), (2, {}, 0.9, 2, 2), (3, {"Permit Type": (True,), "Facility Name": (True,)}, 0.1, 3, 1), (4, {"Other": (True,)}, 0.555, 3, 0), (5, None, None, 3, 0)]
+    d = spark.createDataFrame(rows, form)
+    got = {r.i: (r.a, r.b) for r in d.select("i", *[c.alias(n) for c, n in zip(quality.validation_decision(F.col("s"), F.col("ratio"), F.col("ok"), F.col("failed")), "ab")]).collect()}
+    review = "REVIEW_REQUIRED"
+    assert got == {1: (review, "Fewer than two models succeeded"), 2: (review, "Two or more models failed"), 3: (review, "General field 'Facility Name' needs review"), 4: (review, "Unit field agreement ratio 0.56 < 0.7"), 5: ("SUCCESS", None)}
+
+
+def test_outside_codes(spark):
+    prior = spark.createDataFrame([(1, "a", "31-1221"), (2, "b", "12"), (3, "c", "327310")], "o long, f string, c string")
+    new = spark.createDataFrame([(1, "a", ""), (2, "b", None), (3, "c", "327320"), (4, "c", "x"), (5, "d", "5"), (6, None, "111111")], "o long, f string, c string")
+    got = {(r.f, r.c, r.origin) for r in classify.merge_codes(prior, new, "f", "c", "o").collect()}
+    assert got == {("a", "311221", "prior"), ("b", "", "new"), ("c", "327320", "new"), ("d", "", "new")}
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from fluelake import runtime
+
+    none = SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False, isEmpty=lambda: True))
+    far = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://x", _jsc=SimpleNamespace(sc=lambda: none)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        runtime.checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=far.sparkContext))
