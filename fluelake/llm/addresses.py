@@ -1,9 +1,10 @@
 """Postal addresses that denote the same place, by mined rewrites.
 
-Addresses agreeing in house number and postal code (the town where there is none), and in all words but one run of at most two, show how one thing is
-written in two ways. Such pairs are counted over all addresses; those whose co-occurrence is significant become
-rewrites, the addresses are normalised again and matched again, until no new rewrite appears. Then two files lie at
-one place if number and street name agree (up to one typing error), stated types and directions do not differ, and the
+Addresses agreeing in house number and postal code (the town where there is none), and in all words but one run of at
+most two, show how one thing is written in two ways. Such pairs are counted over all addresses; those whose
+co-occurrence is significant become rewrites, the addresses are normalised again and matched again, until no new rewrite
+appears. The abbreviations of street types and directions are mined first, by the same test; only those that too few
+addresses show are filled in from a given list. Then mining goes on with all words, and two files lie at one place if number and street name agree (up to one typing error), stated types and directions do not differ, and the
 postal code or the town agrees.
 
 No pairs are formed to mine or to match: masked words, and names with one letter left out, are the join keys. Only the
@@ -47,10 +48,15 @@ TAIL = re.compile(r",\s*([^,\d]+),\s*([a-z]{2})\b\.?(?:\s+(\d{5})(?:-?\d{4})?)?\
 WORDS_OF_TYPE = {x for t, a in TYPES.items() for x in [t]}
 SEED = {a: t for t, s in TYPES.items() for a in s.split()} | {a: d for d, s in DIRECTIONS.items() for a in s.split()} | {a: r for r, s in ROADS.items() for a in s.split("|")}
 SEED |= {f"{i}{({1: 'st', 2: 'nd', 3: 'rd'}).get(i, 'th')}": w for i, w in enumerate(ORDINALS, 1)}
+FIXED = sorted(WORDS_OF_TYPE | set(DIRECTIONS))
 #: A rewrite needs this log-likelihood ratio (p < 0.001), support, and share of the word's places.
 SIGNIFICANT, SUPPORT, SHARE = 10.83, 2, 0.15
+#: The same share for a type or direction: most of its places have no other spelling beside them.
+TYPE_SHARE = 0.02
 #: A spelling within one edit of a word this many times as frequent is a typing error.
 TYPO_RATIO, TYPO_LENGTH = 8, 5
+#: A correction must have a lower chance than this to be near a frequent word by accident; letters a word may be of.
+CHANCE, LETTERS = 0.05, 26
 #: Without a common frame a rare word must be within one edit of a word this many times as frequent.
 LONE_RATIO = 25
 MOST_REWRITES = 200_000
@@ -184,6 +190,26 @@ def _ratio(k: int, a: int, b: int, n: int) -> float:
     return 2 * (k * math.log(k / expected) - (k - expected)) if k > expected else 0.0
 
 
+def _abbreviations(rows, rules: dict[str, str]) -> dict[str, str]:
+    """The runs that significantly stand for a type or direction, in letters of it in their order, whichever is the
+    rarer; nothing else is decided before these are alike."""
+    fixed = WORDS_OF_TYPE | set(DIRECTIONS)
+    best: dict[str, tuple[float, str]] = {}
+    for r in rows:
+        for x, y, f in ((r.a, r.b, r.f_a), (r.b, r.a, r.f_b)):
+            if y not in fixed or x in fixed or x in rules or x[0] != y[0] or not _in_order(x, y):
+                continue
+            ratio = _ratio(r.support, r.f_a, r.f_b, r.all)
+            if ratio >= SIGNIFICANT and r.support >= SUPPORT and r.support >= TYPE_SHARE * f:
+                best[x] = max(best.get(x, (0.0, "")), (ratio, y))
+    return {x: y for x, (_, y) in best.items()}
+
+
+def _in_order(short: str, long: str) -> bool:
+    at = iter(long)
+    return all(c in at for c in short)
+
+
 def _accepted(rows, rules: dict[str, str]) -> dict[str, str]:
     fixed = WORDS_OF_TYPE | set(DIRECTIONS)
     best: dict[str, tuple[float, str]] = {}
@@ -202,30 +228,46 @@ def _accepted(rows, rules: dict[str, str]) -> dict[str, str]:
     return {a: b for a, (_, b) in best.items()}
 
 
+def _by_chance(word: str, frequent: int) -> float:
+    """How many of so many frequent words an unrelated word would have within one edit, were letters drawn at random."""
+    n = len(word)
+    return frequent * (52 * n + 25) / LETTERS**n
+
+
 def _corrections(rows, rules: dict[str, str]) -> dict[str, str]:
     fixed = WORDS_OF_TYPE | set(DIRECTIONS)
     best: dict[str, tuple[int, int, str]] = {}
+    frequent = len({r.b for r in rows})
     for r in rows:
-        if r.a not in fixed and r.a not in rules and (d := distance(r.a, r.b, 1)) <= 1:
+        if r.a not in fixed and r.a not in rules and _by_chance(r.a, frequent) < CHANCE and (d := distance(r.a, r.b, 1)) <= 1:
             best[r.a] = min(best.get(r.a, (9, 0, "")), (d, -r.f_b, r.b))
     return {a: b for a, (_, _, b) in best.items()}
 
 
+def _few(pairs: DataFrame) -> list:
+    """The pairs to judge, on the driver, their number checked."""
+    rows = pairs.limit(MOST_REWRITES + 1).collect()
+    if len(rows) > MOST_REWRITES:
+        raise ValueError(f"more than {MOST_REWRITES} rewrites to judge; mine the addresses state by state")
+    return rows
+
+
 def mined(places: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The places with normalised words, and the rewrites found; stops when a round finds none."""
-    places = cut(_normalised(places, SEED))
     found: dict[str, str] = {}
+    while True:
+        pairs = _candidates(places).where((F.col("support") >= SUPPORT) & (F.col("a").isin(*FIXED) | F.col("b").isin(*FIXED)))
+        new = _abbreviations(_few(pairs), found)
+        if not new:
+            break
+        found |= new
+        places = cut(_normalised(places, new))
+    places = cut(_normalised(places, {a: b for a, b in SEED.items() if a not in found}))
     while True:  # each round adds a run of the finite vocabulary as a key
         # only pairs that can pass leave the cluster
         worth = _candidates(places).where((F.col("support") >= SUPPORT) & (F.col("support") >= SHARE * F.col("f_a")) | (F.col("f_b") >= TYPO_RATIO * F.col("f_a")) & (F.levenshtein(F.replace("a", F.lit(" "), F.lit("")), F.replace("b", F.lit(" "), F.lit(""))) <= 2))
-        rows = worth.limit(MOST_REWRITES + 1).collect()
-        if len(rows) > MOST_REWRITES:
-            raise ValueError(f"more than {MOST_REWRITES} rewrites to judge; mine the addresses state by state")
-        new = _accepted(rows, found)
-        lone = _misspelt(places).limit(MOST_REWRITES + 1).collect()
-        if len(lone) > MOST_REWRITES:
-            raise ValueError(f"more than {MOST_REWRITES} spellings to judge; mine the addresses state by state")
-        new = _corrections(lone, found | new) | new
+        new = _accepted(_few(worth), found)
+        new = _corrections(_few(_misspelt(places)), found | new) | new
         if not new:
             break
         found |= new

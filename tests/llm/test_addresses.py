@@ -85,3 +85,22 @@ def test_rounds_end_only_when_none_is_new(spark, monkeypatch):
     places = A.cut(A.files(rows(spark, ("a", "1 W0 Road", "T", "12345", "TX"))))
     out, found = A.mined(places)
     assert len(found) == 10 and out.first().words == ["w10", "road"]
+
+
+def test_abbreviations_of_types_are_mined(spark, monkeypatch):
+    monkeypatch.setattr(A, "SEED", {})
+    names = ["Lantern", "Quarry", "Orchard", "Millrace", "Gantry", "Carding", "Bramble", "Amber", "Foundry", "Kestrel"]
+    r = []
+    for i, n in enumerate(names):
+        r += [(f"a{i}", f"{100 + i} {n} Rd", "T", f"1{i:04d}", "TX"), (f"b{i}", f"{100 + i} {n} Road", "T", f"1{i:04d}", "TX")]
+        r += [(f"c{i}", f"{300 + i} N {n} Road", "T", f"2{i:04d}", "TX"), (f"d{i}", f"{300 + i} North {n} Road", "T", f"2{i:04d}", "TX")]
+    places, found = A.mined(A.cut(A.files(rows(spark, *r))))
+    assert (found["rd"], found["n"]) == ("road", "north")
+    assert pairs(rows(spark, *r)) == sorted([(f"a{i}", f"b{i}") for i in range(10)] + [(f"c{i}", f"d{i}") for i in range(10)])
+
+
+def test_corrections_need_more_than_chance():
+    from types import SimpleNamespace as N
+
+    few = [N(a=a, f_a=1, b=b, f_b=500) for a, b in (("lanterm", "lantern"), ("hall", "hill"))] + [N(a="zzzzzzzz", f_a=1, b=f"word{i}", f_b=500) for i in range(300)]
+    assert A._corrections(few, {}) == {"lanterm": "lantern"}
