@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluelake.functions.blank import is_blank
-from fluelake.runtime import squashed, stored
+from fluelake.llm.truncation import _sent
+from fluelake.runtime import cut, squashed, stored
 
 UNIT_FIELDS = [
     "unit_id", "unit_description", "unit_quantity", "unit_make", "unit_model", "year_of_manufacture", "unit_type", "pollutants",
@@ -29,6 +30,8 @@ UNIT_FIELDS = [
 ]
 #: Names under this length have no pieces; floor(n / (edits + 1)) is at most LONGEST_PIECE for every longer one.
 SHORT_NAME, LONGEST_PIECE = 2, 4
+#: Groups, and keys of eight bytes, sent to every worker; more of them are joined by shuffle.
+MOST_SENT, MOST_KEYS = 200_000, 1_000_000
 MARK = r"(?:\bno\. ?|\bnumber |#)([0-9]+)"
 
 
@@ -106,16 +109,21 @@ def with_units(d: DataFrame) -> DataFrame:
     number = F.when(said, F.col("__number")).otherwise(F.regexp_extract("__id", r"([0-9]+)[A-Z]?$", 1))
     side = F.when(F.col("__side") != "", F.col("__side")).otherwise(F.lower(F.regexp_extract("__id", r"[0-9]([A-Z])$", 1)))
     known = with_id.where(named).select("filename", number.alias("__number"), side.alias("__side"), "unit", F.col("__name").alias("name"), F.col("__place").alias("place")).distinct()
-    # one name in one file and place: names share an untouched piece, so that a file of many rows never meets itself whole
+    # names in question share an untouched piece, so that a file of many rows never meets itself whole; only pieces asked
+    # for leave the rows that offer them
     keys = ["filename", "__number", "__side"]
-    wanted = without.select("*", F.explode(_pieces(F.col("__name"))).alias("k")).select("*", "k.*").drop("k")
-    offered = known.select("*", F.explode(_grams(F.col("name"))).alias("k")).select("*", "k.*").drop("k")
-    met = wanted.join(offered, [*keys, "at", "gram"]).drop("at", "gram")
+    key = F.xxhash64(*keys, "k.at", "k.gram").alias("key")
+    known = cut(known.join(_sent(without.select(*keys).distinct(), MOST_SENT), keys, "left_semi"))
+    wanted = cut(without.select("*", F.explode(_pieces(F.col("__name"))).alias("k")).select(*without.columns, key))
+    names = known.select(*keys, "name").distinct()
+    offered = names.select(*keys, "name", F.explode(_grams(F.col("name"))).alias("k")).select("name", key)
+    offered = offered.join(_sent(wanted.select("key").distinct(), MOST_KEYS), "key", "left_semi").distinct()
+    off = F.levenshtein(F.col("name"), F.col("__name"))
+    met = wanted.join(offered, "key").where(off <= _edits(F.col("__name"))).select(*without.columns, "name").distinct()
     # a name too short to have pieces is compared with those as short
-    short = without.where(F.length("__name") < SHORT_NAME).join(known.where(F.length("name") <= SHORT_NAME), keys)
-    pairs = met.unionByName(short).distinct()
+    short = without.where(F.length("__name") < SHORT_NAME).join(names.where(F.length("name") <= SHORT_NAME), keys).select(*without.columns, "name")
+    pairs = met.unionByName(short).distinct().join(known, [*keys, "name"])
     same_place = (F.col("place") == F.col("__place")) | (F.levenshtein("place", "__place") <= 2)
-    off = F.levenshtein(F.col("name"), F.col("__name"))
     near = (off <= _edits(F.col("__name"))) & ((F.col("__number") != "") | same_place)
     best = pairs.where(near).groupBy("filename", "__name", "__number", "__side", "__place").agg(F.min(F.struct(off.alias("off"), F.when(same_place, 0).otherwise(1).alias("far"), F.col("unit"))).alias("best"))
     own = F.concat(F.lit("named:"), F.concat_ws("|", "__name", "__number", "__side", "__place"))
